@@ -1,3 +1,6 @@
+"""Text to numbers. Parsing and checking are apart, so that a job can parse in one projection and
+check the result in the next, instead of repeating the parse inside the check."""
+
 from __future__ import annotations
 
 from pyspark.sql import Column
@@ -8,17 +11,24 @@ from keystitch.functions.text import script_trim
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 
 
-def to_number(c: Column) -> Column:
-    """Text to double. Empty, junk, NaN and infinities become NULL, so they cannot poison a sum.
+def parse_number(c: Column) -> Column:
+    """Text to double; empty and junk become NULL, so they cannot poison a sum.
 
-    The pattern is needed because a plain cast also accepts forms like '1d' or 'Infinity'.
+    The pattern is needed because a plain cast also accepts forms like '1d' or 'Infinity'. Most
+    numbers pass with plain blanks trimmed; only the rest is searched for other blanks.
     """
-    text = script_trim(c.cast("string"))
-    number = F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+    def parsed(text: Column) -> Column:
+        return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+    return F.coalesce(parsed(F.trim(c)), parsed(script_trim(c)))
+
+
+def finite(number: Column) -> Column:
+    """NULL for what is too large for a double."""
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
-def to_whole_number(c: Column) -> Column:
-    """As `to_number`, for an integer column: anything with a fraction becomes NULL."""
-    number = to_number(c)
+def whole(number: Column) -> Column:
+    """For an integer column: anything with a fraction, or out of range, becomes NULL."""
     return F.when(number == F.floor(number), number.try_cast("int"))

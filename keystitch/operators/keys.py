@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,34 +18,23 @@ def fetch_rows(source: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return source.join(keys.select(key), key, "left_semi")
 
 
-def _one_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str], pick, copies: str | None):
-    # A plain aggregate, not a window: each map task already reduces a key to one row, so a key
-    # with a third of all rows costs no more than any other. The remaining columns break ties,
-    # which keeps the choice the same when a lost task is run again.
+def _top_row(rows: DataFrame, keys: Sequence[str], order: Sequence[str], direction) -> DataFrame:
+    # Spark turns a row number limited to one into a group limit before the shuffle: each map task
+    # passes on one row per key, so a key with a third of all rows costs no more than any other.
+    # The remaining columns break ties, so that a task that is run again makes the same choice.
     rest = [c for c in rows.columns if c not in keys and c not in order]
-    found = rows.groupBy(*keys).agg(
-        pick(F.struct(*order, *rest)).alias("_row"), F.count(F.lit(1)).alias("_copies")
-    )
-    counted = [F.col("_copies").alias(copies)] if copies else []
-    values = [F.col("_row")[c].alias(c) for c in rows.columns if c not in keys]
-    return found.select(*keys, *values, *counted)
+    window = Window.partitionBy(*keys).orderBy(*[direction(c) for c in (*order, *rest)])
+    return rows.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") == 1).drop("_n")
 
 
-def last_per_key(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], copies: str | None = None
-) -> DataFrame:
-    """The last row of each key in the given order, as ordered upserts leave it.
-
-    `copies` names a column for the number of rows the key had.
-    """
-    return _one_per_key(rows, keys, order, F.max, copies)
+def last_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The last row of each key in the given order, as ordered upserts leave it."""
+    return _top_row(rows, keys, order, F.desc_nulls_last)
 
 
-def first_per_key(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], copies: str | None = None
-) -> DataFrame:
+def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key in the given order, as ordered inserts that skip conflicts leave it."""
-    return _one_per_key(rows, keys, order, F.min, copies)
+    return _top_row(rows, keys, order, F.asc_nulls_first)
 
 
 def split_rejects(rows: DataFrame, checks: dict[str, Column]) -> DataFrame:

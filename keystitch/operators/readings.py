@@ -8,26 +8,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keystitch.functions.hours import is_hour, normalize_hour
-from keystitch.functions.numbers import to_number, to_whole_number
+from keystitch.functions.numbers import finite, parse_number, whole
+from keystitch.functions.text import script_trim
 from keystitch.operators.merge import new_rows
 
 READING_KEY = ["date", "hour", "tank_number"]
 
 
+# Measures of a reading and their names in a response, one of them misspelt there.
+MEASURES = {
+    "volume": "volumen",
+    "compensated_volume": "volumen_compensado",
+    "height": "altura",
+    "temperature": "temperatura",
+    "water_volume": "volument_agua",
+}
+
+
 def map_readings(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Rename the response fields and give them their types; `date` stays text until it is checked."""
-    return raw.select(
+    hour = normalize_hour(script_trim(F.col("hora").cast("string")))
+    tank = parse_number(F.col("numero_tanque").cast("string"))
+    # Hour and tank come out of a generator: a later filter on them is then not pushed below it,
+    # where the optimizer would write out the whole parse once per use.
+    parsed = raw.select(
+        *keep,
+        "fecha",
+        F.inline(F.array(F.struct(hour.alias("hour"), tank.alias("_tank")))),
+        parse_number(F.col("status_actual").cast("string")).alias("_status"),
+        *[parse_number(F.col(f).cast("string")).alias(name) for name, f in MEASURES.items()],
+    )
+    return parsed.select(
         *keep,
         F.col("fecha").alias("date"),
-        normalize_hour(F.col("hora")).alias("hour"),
-        to_whole_number(F.col("numero_tanque")).alias("tank_number"),
-        to_whole_number(F.col("status_actual")).alias("actual_status"),
-        to_number(F.col("volumen")).alias("volume"),
-        to_number(F.col("volumen_compensado")).alias("compensated_volume"),
-        to_number(F.col("altura")).alias("height"),
-        to_number(F.col("temperatura")).alias("temperature"),
-        # the field name is misspelt at the source
-        to_number(F.col("volument_agua")).alias("water_volume"),
+        "hour",
+        whole(F.col("_tank")).alias("tank_number"),
+        whole(F.col("_status")).alias("actual_status"),
+        *[finite(F.col(name)).alias(name) for name in MEASURES],
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keystitch.functions.hours import normalize_hour as hour_of
+from keystitch.functions.text import script_trim
 from keystitch.operators import quality as Q
 from keystitch.operators import ranges as R
 from keystitch.operators import readings as G
@@ -85,7 +86,7 @@ def ingest_job(spark, sf):
 
 QUERIES = {
     "normalize_hour": lambda spark, sf: _raw(spark, sf).select(
-        "ord", "hora", hour_of(F.col("hora")).alias("hour")
+        "ord", "hora", hour_of(script_trim(F.col("hora"))).alias("hour")
     ),
     "readings_scan": lambda spark, sf: scan_responses(spark, land_responses(spark, sf)),
     "readings_map": _mapped,

@@ -9,30 +9,26 @@ from keystitch.operators.reports import verify_counts as counts_of
 from keystitch.plans import snapshot as S
 from keystitch.sources.csvfiles import read_csv_gz, write_csv_gz
 from keystitch.sources.tables import new_folder
-from workload.standins import DRIVER_TABLES, standin
+from workload.standins import DRIVER_TABLES, driver_table, standin
 
 FLOOR = "2000-01-01"
 
 
-def _table(spark, sf, name):
-    return spark.read.parquet(f"{sf}/{name}.parquet")
-
-
 def snapshot_filtered(spark, sf):
-    return S.rows_since(_table(spark, sf, "orders"), "o_orderdate", FLOOR)
+    return S.rows_since(driver_table(spark, sf, "orders"), "o_orderdate", FLOOR)
 
 
 def snapshot_manifest(spark, sf):
     folder = new_folder(spark, "snapshot")
-    S.write_snapshot({n: _table(spark, sf, n) for n in DRIVER_TABLES}, folder, ["orders"])
+    S.write_snapshot({n: driver_table(spark, sf, n) for n in DRIVER_TABLES}, folder, ["orders"])
     return S.snapshot_manifest(S.read_snapshot(spark, folder, DRIVER_TABLES), ["orders"])
 
 
 def snapshot_restore(spark, sf):
     """Structure of orders from the snapshot, its recent rows from the filtered export."""
     folder, restored = new_folder(spark, "snapshot"), new_folder(spark, "restored")
-    orders = _table(spark, sf, "orders")
-    S.write_snapshot({"orders": orders, "customer": _table(spark, sf, "customer")}, folder, ["orders"])
+    orders = driver_table(spark, sf, "orders")
+    S.write_snapshot({"orders": orders, "customer": driver_table(spark, sf, "customer")}, folder, ["orders"])
     S.export_since(orders, "o_orderdate", FLOOR, f"{folder}/orders_csv")
     S.restore_table(spark, f"{folder}/orders", f"{restored}/orders")
     schema = spark.read.parquet(f"{folder}/orders").schema
@@ -51,15 +47,15 @@ def csv_roundtrip(spark, sf):
 def csv_texts(spark, sf):
     """Whole prose texts, with their quotes and line breaks, through the export and back."""
     path = new_folder(spark, "csv")
-    rows = _table(spark, sf, "documents")
+    rows = driver_table(spark, sf, "documents")
     write_csv_gz(rows, path, rows_per_file=20_000)
     return read_csv_gz(spark, path, rows.schema)
 
 
 def verify_counts(spark, sf):
     tables = {
-        "users": _table(spark, sf, "customer"),
-        "units": _table(spark, sf, "supplier"),
+        "users": driver_table(spark, sf, "customer"),
+        "units": driver_table(spark, sf, "supplier"),
         "transactions": snapshot_filtered(spark, sf),
     }
     return counts_of(tables, len(DRIVER_TABLES))
@@ -72,7 +68,7 @@ QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "csv_texts": csv_texts,
     "max_id_or_one": lambda spark, sf: next_base(
-        _table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
+        driver_table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
     ),
     "verify_counts": verify_counts,
 }

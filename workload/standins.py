@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -154,11 +156,22 @@ def _names_in(sql: str, names: Iterable[str]) -> list[str]:
     return [n for n in names if re.search(rf"\b(?:from|join)\s+{n}\b", sql)]
 
 
+@cache
+def _schema(path: str) -> StructType:
+    return SparkSession.active().read.parquet(path).schema
+
+
+def driver_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A driver table; its schema is looked up once, as every lookup is a Spark job."""
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
+
+
 def standin(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The stand-in as a DataFrame over the Parquet tables of `folder`."""
     sql = STANDINS[name].replace('"', "")
     inputs = {n: standin(spark, folder, n) for n in _names_in(sql, STANDINS)}
-    inputs |= {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in _names_in(sql, DRIVER_TABLES)}
+    inputs |= {n: driver_table(spark, folder, n) for n in _names_in(sql, DRIVER_TABLES)}
     for n in inputs:
         sql = re.sub(rf"\b(from|join)\s+{n}\b", rf"\1 {{{n}}}", sql)
     return spark.sql(sql, **inputs)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keystitch.functions.numbers import to_whole_number
+from keystitch.functions.numbers import parse_number, whole
 from keystitch.operators.changes import (
     change_counts,
     change_keys,
@@ -24,7 +24,7 @@ from keystitch.plans.extras import patch_extras
 from keystitch.plans.sync import sync_table
 from keystitch.sources.specs import DOCUMENTS, TableSpec, map_columns as rename
 from keystitch.sources.tables import scan_keys as key_scan
-from workload.standins import standin
+from workload.standins import driver_table, standin
 
 DOCS = TableSpec(
     "src_docs",
@@ -100,7 +100,7 @@ def cdc_changes(spark, sf):
 
 
 def dedupe_last_wins(spark, sf):
-    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    lines = driver_table(spark, sf, "lineitem")
     return last_per_key(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
@@ -119,7 +119,7 @@ def reject_split(spark, sf):
     checks = {
         "no hour": F.col("hora").isNotNull(),
         "hour too long": F.length("hora") <= 5,
-        "no tank number": to_whole_number(F.col("numero_tanque")).isNotNull(),
+        "no tank number": whole(parse_number(F.col("numero_tanque"))).isNotNull(),
     }
     return split_rejects(raw, checks).select("ord", "reason")
 
