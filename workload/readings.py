@@ -79,7 +79,8 @@ def ingest_job(spark, sf):
     landed, table = land_responses(spark, sf), new_folder(spark, "readings")
     old = _target(spark, sf)
     absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in READINGS_SCHEMA if f.name not in old.columns]
-    old.select("*", *absent).select(*READINGS_SCHEMA.names).write.partitionBy("date").parquet(table)
+    old = old.select("*", *absent).select(*READINGS_SCHEMA.names).hint("rebalance", "date")
+    old.write.partitionBy("date").parquet(table)
     run = ingest_readings(spark, landed, table, NOW, date(2023, 12, 30), date(2024, 1, 31))
     return run.day_counts
 
