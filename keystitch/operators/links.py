@@ -123,28 +123,32 @@ def link_documents(
         )
         .filter(F.col("_id").isNotNull())
     )
-    shape, maintenance = F.col("shape"), F.col("link_type") == "maintenance"
-    rule = (
-        F.when(shape == "multi", "multiple_folios")
-        .when(shape == "exact", F.when(maintenance, "exact_m").otherwise("exact_s"))
-        .otherwise(F.when(maintenance, "normalized_m").otherwise("normalized_s"))
-    )
+    # the rules in their order, should a document be listed twice
+    order = F.when(F.col("shape") == "exact", 0).when(F.col("shape") == "bare", 1).otherwise(2)
     found = (
         wanted.join(lookup, ["link_type", "pid"])
-        # distinct after the anti join: it is already partitioned by a part of the row
         .join(known, ["document_id", "link_type", "_id"], "left_anti")
-        .select(
-            "document_id",
-            "link_type",
-            F.when(maintenance, F.col("_id")).alias("maintenance_id"),
-            F.when(~maintenance, F.col("_id")).alias("accident_id"),
-            F.col("pid").alias("linked_pid"),
-            F.when(shape == "exact", "auto_exact").otherwise("auto_normalized").alias("match_method"),
-            F.when(shape == "multi", "medium").otherwise("high").alias("confidence"),
-            rule.alias("rule"),
-        )
+        # Grouped by the keys of the anti join, so this adds no shuffle; a plain distinct would also
+        # be content with the partitions of the lookup join, and keep a hot folio in one of them.
+        .groupBy("document_id", "link_type", "_id")
+        .agg(F.min("pid").alias("linked_pid"), F.min(order).alias("order"))
+    )
+    maintenance, exact, multi = F.col("link_type") == "maintenance", F.col("order") == 0, F.col("order") == 2
+    rule = (
+        F.when(multi, "multiple_folios")
+        .when(exact, F.when(maintenance, "exact_m").otherwise("exact_s"))
+        .otherwise(F.when(maintenance, "normalized_m").otherwise("normalized_s"))
+    )
+    return found.select(
+        "document_id",
+        "link_type",
+        F.when(maintenance, F.col("_id")).alias("maintenance_id"),
+        F.when(~maintenance, F.col("_id")).alias("accident_id"),
+        "linked_pid",
+        F.when(exact, "auto_exact").otherwise("auto_normalized").alias("match_method"),
+        F.when(multi, "medium").otherwise("high").alias("confidence"),
+        rule.alias("rule"),
     )
-    return found.distinct()
 
 
 def link_movements(

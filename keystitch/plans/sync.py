@@ -35,19 +35,22 @@ def sync_table(
     """One table: missing and modified rows, upserted by key.
 
     1. The keys to load come from a narrow scan of both sides and are staged.
-    2. The full rows of these keys are fetched, checked and staged. With few keys this is a
-       broadcast filter over the source.
+    2. The full rows of these keys are fetched, checked and staged. With few keys, none of them
+       repeated, this is a broadcast filter over the source.
     3. The new table is the old one with the good rows merged in; with few rows again without a
        shuffle of the table.
 
     The watermark is read before anything is loaded, so no edit can fall between two runs. `order`
     names further source columns that tell which of several rows of a key is the last one.
     """
-    rows, key, stamp = map_columns(source, spec, keep=order), spec.key, spec.modified_col
+    key, stamp = spec.key, spec.modified_col
+    ordinals = {f"_order_{i}": F.col(c) for i, c in enumerate(order)}
+    rows = map_columns(source, spec, keep=[c.alias(name) for name, c in ordinals.items()])
     watermark = stage(watermark_time(target, stamp), "watermark").scalar() if stamp else None
     keys = stage(change_keys(rows, target, key, stamp, watermark), "keys")
-    changed = with_synced_at(change_rows(rows, keys, key, stamp, watermark, order), synced_at)
-    changed = stage(split_rejects(changed.drop(*order), checks or {}), "changes")
+    unique = keys.filter(F.col("copies") > 1).isEmpty()
+    changed = change_rows(rows, keys, key, stamp, watermark, [*ordinals], unique).drop(*ordinals)
+    changed = stage(split_rejects(with_synced_at(changed, synced_at), checks or {}), "changes")
     good = changed.filter(F.col("reason").isNull())
 
     if "synced_at" not in target.columns:
