@@ -14,15 +14,18 @@ from keystitch.sources.tables import stage
 
 @dataclass(frozen=True)
 class LinkRun:
+    """`new_*` are the rows to append; the two tables are the old links with them."""
+
+    new_document_links: DataFrame
+    new_movement_links: DataFrame
     document_links: DataFrame
     movement_links: DataFrame
     counts: DataFrame
     summary: DataFrame
 
 
-def append_links(links: DataFrame, new: DataFrame, columns: list[str]) -> DataFrame:
-    fresh = new.select(*columns, F.lit(1).alias("active"))
-    return links.unionByName(fresh, allowMissingColumns=True)
+def _stored(new: DataFrame, columns: list[str]) -> DataFrame:
+    return new.select(*columns, F.lit(1).alias("active"))
 
 
 def link_all(
@@ -34,13 +37,17 @@ def link_all(
     units: DataFrame,
     movement_links: DataFrame,
 ) -> LinkRun:
-    """Both link tables with the new links appended, and the report. A second run adds nothing."""
+    """New links of both kinds, and the report. A second run adds nothing."""
     new_documents = stage(link_documents(documents, maintenances, accidents, document_links), "document-links")
     new_movements = stage(link_movements(movements, units, movement_links), "movement-links")
     counts = link_counts(document_links, new_documents, movement_links, new_movements)
+    documents_to_append = _stored(new_documents, DOCUMENT_LINK)
+    movements_to_append = _stored(new_movements, MOVEMENT_LINK)
     return LinkRun(
-        append_links(document_links, new_documents, DOCUMENT_LINK),
-        append_links(movement_links, new_movements, MOVEMENT_LINK),
+        documents_to_append,
+        movements_to_append,
+        document_links.unionByName(documents_to_append, allowMissingColumns=True),
+        movement_links.unionByName(movements_to_append, allowMissingColumns=True),
         counts,
         link_summary(counts),
     )

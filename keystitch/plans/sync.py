@@ -13,8 +13,8 @@ from keystitch.operators.changes import change_keys, change_rows, watermark_time
 from keystitch.operators.keys import split_rejects
 from keystitch.operators.merge import merge_rows, with_synced_at
 from keystitch.operators.reports import COUNTERS, sync_report
-from keystitch.sources.specs import TableSpec, map_columns
-from keystitch.sources.tables import stage, swap_table
+from keystitch.sources.specs import BLOCK, TableSpec, map_columns, with_block
+from keystitch.sources.tables import overwrite_partitions, stage, swap_table
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,9 @@ def sync_table(
     3. The new table is the old one with the good rows merged in; with few rows again without a
        shuffle of the table.
 
+    With a `block_size` the returned table holds only the blocks that change, and only they are read
+    in the last step; `target` then has the column `key_block`.
+
     The watermark is read before anything is loaded, so no edit can fall between two runs. `order`
     names further source columns that tell which of several rows of a key is the last one.
     """
@@ -50,17 +53,22 @@ def sync_table(
     keys = stage(change_keys(rows, target, key, stamp, watermark), "keys")
     unique = keys.filter(F.col("copies") > 1).isEmpty()
     changed = change_rows(rows, keys, key, stamp, watermark, [*ordinals], unique).drop(*ordinals)
-    changed = stage(split_rejects(with_synced_at(changed, synced_at), checks or {}), "changes")
-    good = changed.filter(F.col("reason").isNull())
+    changed = with_block(with_synced_at(changed, synced_at), spec)
+    changed = stage(split_rejects(changed, checks or {}), "changes")
+    good = changed.filter(F.col("reason").isNull() & F.col("outcome").isin("inserted", "updated"))
 
     if "synced_at" not in target.columns:
         target = target.withColumn("synced_at", F.lit(None).cast("timestamp"))
+    blocks = []
+    if spec.block_size is not None:
+        blocks = [BLOCK]
+        target = target.join(good.select(BLOCK).distinct(), BLOCK, "left_semi").select(*target.columns)
     table = merge_rows(
         target,
         good.filter(F.col("outcome") == "updated"),
         good.filter(F.col("outcome") == "inserted"),
         key,
-        [*spec.value_columns, "synced_at"],
+        [*spec.value_columns, "synced_at", *blocks],
     )
     return SyncRun(table, _report(keys, changed, spec.name), changed.filter(F.col("reason").isNotNull()))
 
@@ -100,12 +108,16 @@ def sync_tables(
 ) -> DataFrame:
     """Synchronise catalog tables one after the other; returns the report with its total.
 
-    `read_source` gives the source table of a spec. `base` is the folder for the new versions.
+    `read_source` gives the source table of a spec. `base` is the folder for the new versions of
+    tables without blocks; a table with blocks is a partitioned one and changes in place.
     """
     reports = []
     for spec in specs:
         source = read_source(spec)
         run = sync_table(source, source.sparkSession.table(spec.target), spec, synced_at)
-        swap_table(run.table, spec.target, f"{base}/{spec.target}")
+        if spec.block_size is None:
+            swap_table(run.table, spec.target, f"{base}/{spec.target}")
+        else:
+            overwrite_partitions(stage(run.table, "blocks"), spec.target)
         reports.append(run.report)
     return sync_report(reports)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +16,17 @@ def scan_keys(table: DataFrame, source_key: str, key: str | None = None) -> Data
     return table.select(F.col(source_key).alias(key or source_key))
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="shared-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Shared folder the cluster names in `spark.checkpoint.dir`."""
+    """Shared folder the cluster names in `spark.checkpoint.dir`. Only a session without a cluster,
+    whose master is `local`, may leave it unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and spark.sparkContext.master.startswith("local"):
+        folder = _local_dir()
     if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return folder.rstrip("/")
@@ -54,6 +64,22 @@ def swap_table(df: DataFrame, table: str, base: str) -> DataFrame:
     return spark.table(table)
 
 
+def overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions of a catalog table that `df` has rows for, and no others.
+
+    `df` holds these partitions whole, has the columns of the table in order, and must not read the
+    table itself, so stage it first. A run that fails can be repeated from the staged rows.
+    """
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    # only the session setting counts here: insertInto does not look at writer options
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def empty_table(spark: SparkSession, schema: StructType, path: str, partition_by: str | None = None) -> None:
     """Create an empty Parquet table at `path` unless something is there already."""
     writer = spark.createDataFrame([], schema).write.mode("ignore")

@@ -15,7 +15,7 @@ from keystitch.operators.extras import changed_texts, rows_with_text
 from keystitch.operators.reports import max_id_or_one, summary_line, sync_report, sync_summary
 from keystitch.plans.extras import patch_extras
 from keystitch.plans.sync import sync_table, sync_tables
-from keystitch.sources.specs import SPECS, TableSpec, map_columns, select_specs
+from keystitch.sources.specs import SPECS, TableSpec, map_columns, select_specs, with_block
 
 SPEC = TableSpec("docs", "docs_copy", "id", "ID", "stamp", {"ID": "id", "V": "v", "TS": "stamp"})
 UNSTAMPED = TableSpec("movs", "movs_copy", "id", "ID", None, SPEC.columns)
@@ -200,6 +200,30 @@ def test_sync_tables_and_report(spark, tmp_path):
     spark.sql("drop table movs_copy")
 
 
+def test_blocks_rewrite_only_what_changes(spark, rows):
+    spec = TableSpec("docs", "docs_blocks", "id", "ID", "stamp", SPEC.columns, block_size=10)
+    target = [(i, "old", day(1, 2025), "n") for i in range(60)]
+    frame = spark.createDataFrame(target, TARGET).withColumn("synced_at", F.lit(None).cast("timestamp"))
+    with_block(frame, spec).write.partitionBy("key_block").mode("overwrite").saveAsTable("docs_blocks")
+    files = lambda: {r.f for r in spark.table("docs_blocks").select(F.input_file_name().alias("f")).distinct().collect()}
+    before = files()
+    source = [(i, "same", day(1, 2025)) for i in range(60)] + [(61, "new", "")]
+    source[25] = (25, "edited", day(2, 2025))
+    frame = spark.createDataFrame(source, SOURCE)
+    run = sync_table(frame, spark.table("docs_blocks"), spec, AT)
+    assert {r.key_block for r in run.table.collect()} == {2, 6} and run.table.count() == 11
+    assert "dynamicpruning" in run.table._jdf.queryExecution().executedPlan().toString()
+    plain = sync_table(frame, spark.createDataFrame(target, TARGET), SPEC, AT)
+
+    report = sync_tables([spec], lambda s: frame, "unused", AT)
+    assert {tuple(r)[1:] for r in report.collect()} == {(1, 1, 1, 0)}
+    spark.catalog.refreshTable("docs_blocks")
+    assert rows(spark.table("docs_blocks").drop("key_block")) == rows(plain.table)
+    kept = {f for f in before if "key_block=2/" not in f}
+    assert kept <= files() and not (before - kept) & files()
+    spark.sql("drop table docs_blocks")
+
+
 def test_max_id_or_one(spark):
     ids = spark.createDataFrame([(7,), (3,)], "id long")
     assert max_id_or_one(ids).first()[0] == 7 and max_id_or_one(ids.limit(0)).first()[0] == 1
