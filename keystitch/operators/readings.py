@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keystitch.functions.hours import is_hour, normalize_hour
@@ -48,7 +48,7 @@ def map_readings(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def is_valid_reading():
+def is_valid_reading() -> Column:
     """Date and hour present, hour `HH:MM`, tank number above zero."""
     return (
         F.coalesce(F.col("date") != "", F.lit(False))
@@ -57,15 +57,15 @@ def is_valid_reading():
     )
 
 
-def same_day(day: str = "dia"):
+def same_day(day: str = "dia") -> Column:
     """The reading is of the requested day; compared as text, before any cast."""
-    return F.coalesce(F.col("date") == F.col(day), F.lit(False))
+    return F.coalesce(F.col("date") == F.col(day), F.lit(False)) & F.col(day).try_cast("date").isNotNull()
 
 
 def valid_readings(mapped: DataFrame, day: str = "dia") -> DataFrame:
     """Valid readings of their requested day, with `date` as a date."""
     good = mapped.filter(is_valid_reading() & same_day(day))
-    return good.withColumn("date", F.col("date").try_cast("date")).filter(F.col("date").isNotNull())
+    return good.withColumn("date", F.col("date").try_cast("date"))
 
 
 def new_readings(target: DataFrame, valid: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from keystitch.operators.changes import change_keys, change_rows, watermark_time
 from keystitch.operators.keys import split_rejects
 from keystitch.operators.merge import merge_rows, with_synced_at
 from keystitch.operators.reports import COUNTERS, sync_report
-from keystitch.sources.specs import BLOCK, TableSpec, map_columns, with_block
+from keystitch.sources.specs import BLOCK, TableSpec, map_columns, misfit, with_block
 from keystitch.sources.tables import overwrite_partitions, stage, swap_table
 
 
@@ -44,17 +44,20 @@ def sync_table(
     in the last step; `target` then has the column `key_block`.
 
     The watermark is read before anything is loaded, so no edit can fall between two runs. `order`
-    names further source columns that tell which of several rows of a key is the last one.
+    names further source columns that tell which of several rows of a key is the last one. Rows that
+    fail one of `checks` (by target column names), or do not fit the declared types, are rejected.
     """
     key, stamp = spec.key, spec.modified_col
     ordinals = {f"_order_{i}": F.col(c) for i, c in enumerate(order)}
-    rows = map_columns(source, spec, keep=[c.alias(name) for name, c in ordinals.items()])
+    extra = [c.alias(name) for name, c in ordinals.items()]
+    rows = map_columns(source, spec, keep=[*extra, misfit(source, spec).alias("_misfit")])
     watermark = stage(watermark_time(target, stamp), "watermark").scalar() if stamp else None
     keys = stage(change_keys(rows, target, key, stamp, watermark), "keys")
     unique = keys.filter(F.col("copies") > 1).isEmpty()
     changed = change_rows(rows, keys, key, stamp, watermark, [*ordinals], unique).drop(*ordinals)
     changed = with_block(with_synced_at(changed, synced_at), spec)
-    changed = stage(split_rejects(changed, checks or {}), "changes")
+    checks = {"value does not fit its type": F.col("_misfit").isNull()} | (checks or {})
+    changed = stage(split_rejects(changed, checks).drop("_misfit"), "changes")
     good = changed.filter(F.col("reason").isNull() & F.col("outcome").isin("inserted", "updated"))
 
     if "synced_at" not in target.columns:

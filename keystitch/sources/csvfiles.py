@@ -22,6 +22,8 @@ def write_csv_gz(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> No
     (
         df.write.options(**_COMMON, nullValue="", emptyValue='""', compression="gzip")
         .option("maxRecordsPerFile", rows_per_file)
+        # fixed value: level 1, as compression otherwise takes most of the time
+        .option("zlib.compress.level", "BEST_SPEED")
         .csv(path)
     )
 

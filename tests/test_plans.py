@@ -104,6 +104,16 @@ def test_repeated_source_keys_are_reduced_before_the_join(spark):
     assert "BroadcastHashJoin" in direct and "hashpartitioning" not in direct and "Window" not in direct
 
 
+def test_source_keys_are_counted_before_the_shuffle(spark):
+    """Missing rows are counted with their repeats, without moving the repeats."""
+    source = stage(spark.range(9000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k")), "source")
+    target = stage(spark.range(5000, 9000).select(F.col("id").alias("k")), "target")
+    keys = C.change_keys(source, target, "k")
+    assert re.search(r"Exchange hashpartitioning\(k#[^+]*\n[^+]*\+- HashAggregate\(keys=\[k#\d+L\], functions=\[partial_", plan(keys))
+    assert keys.filter("k = 0").first().copies == 3000
+    assert C.change_counts(keys, "t").first().missing == 3000 + sum(1 for i in range(5000) if i % 3)
+
+
 def test_day_counts_aggregates_before_every_shuffle(spark):
     mapped = G.map_readings(standin(spark, SF, "readings_raw"), keep=["dia"])
     known = spark.createDataFrame([], "date date, hour string, tank_number int")
@@ -136,7 +146,7 @@ def test_link_distinct_uses_the_partitioning_of_the_anti_join(spark, conf):
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 4
 
 
-@pytest.mark.parametrize("kind", ["patch", "link", "missing"])
+@pytest.mark.parametrize("kind", ["patch", "link"])
 def test_hot_keys_are_split(spark, conf, kind):
     """A third of the rows share one key: the join splits that partition and loses nothing."""
     conf(
@@ -155,10 +165,6 @@ def test_hot_keys_are_split(spark, conf, kind):
         changes = stage(ids.select(F.col("id").alias("k"), F.lit("new").alias("v")), "changes")
         df = M.overwrite_rows(table, changes, "k", ["v"])
         assert df.filter("v = 'new'").count() == n
-    elif kind == "missing":
-        source = stage(ids.select(hot.alias("k")), "hot")
-        df = K.missing_keys(source, stage(ids.select(F.col("id").alias("k")).filter("k > 1"), "known"), "k")
-        assert df.count() == n // 3 + 1  # every third row, and the row whose own key is 1
     else:
         folio = F.concat(F.lit("M-250101-"), hot.cast("string"))
         docs = stage(ids.select(F.col("id").alias("document_id"), folio.alias("extra_text_three"), F.lit(1).alias("active")), "docs")

@@ -52,6 +52,7 @@ READINGS = [
     reading("2024-01-04", "10:00", 1, dia=DAY),  # another day than the requested one
     reading("", "10:00", 1, dia=DAY),
 ]
+NO_DAY = reading("someday", "10:00", 1)
 
 
 def test_valid_and_new_readings(spark):
@@ -70,6 +71,13 @@ def test_valid_and_new_readings(spark):
     assert tuple(G.ingest_totals(full, failed).first()) == (2, 11, 4, 2, 2, 1)
 
 
+def test_a_folder_that_is_no_day(spark):
+    mapped = G.map_readings(raw_frame(spark, [NO_DAY]), keep=["ord", "dia"])
+    assert G.valid_readings(mapped).count() == 0
+    target = spark.createDataFrame([], "date date, hour string, tank_number int")
+    assert [tuple(r) for r in G.day_counts(mapped, target).collect()] == [("someday", 1, 0, 0, 0)]
+
+
 def target_days(spark, *days):
     return spark.createDataFrame([(d, a) for d, a in days], "date date, active int")
 

@@ -148,6 +148,16 @@ def test_rejects(spark):
     assert [(r.id, r.reason) for r in K.reject_sample(checked, "id").collect()] == [(1, "no v"), (2, "long v")]
 
 
+def test_values_that_do_not_fit_are_rejected(spark):
+    spec = TableSpec("docs", "docs_copy", "id", "ID", "stamp", SPEC.columns, types={"id": "bigint", "v": "int"})
+    source = spark.createDataFrame([("1", "5", ""), ("2", "x", ""), ("3", None, ""), ("?", "5", "")], "ID string, V string, TS string")
+    target = spark.createDataFrame([], "id long, v int, stamp string")
+    run = sync_table(source, target, spec, AT)
+    assert sorted((r.id, r.v) for r in run.table.collect()) == [(1, 5), (3, None)]
+    assert [(r.id, r.reason) for r in run.rejects.collect()] == [(2, "value does not fit its type")]
+    assert tuple(run.report.first()) == ("docs", 4, 2, 0, 2)
+
+
 def test_change_counts_match_the_job(spark):
     source = map_columns(spark.createDataFrame(SOURCE_ROWS, SOURCE), SPEC)
     target = spark.createDataFrame(TARGET_ROWS, TARGET)

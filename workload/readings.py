@@ -23,9 +23,20 @@ NOW = datetime(2024, 2, 3, 5, 0)
 RESPONSE_ROWS = 500
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
 def land_responses(spark: SparkSession, sf: str) -> str:
-    """Write the raw readings as the responses they came in: at most 500 readings per body, one folder
-    per requested day, and in each folder one body that is an error message."""
+    """Folder with the raw readings as the responses they came in, written once per application: at
+    most 500 readings per body, one folder per requested day, and in each folder one body that is an
+    error message."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LANDED:
+        _LANDED[key] = _land(spark, sf)
+    return _LANDED[key]
+
+
+def _land(spark: SparkSession, sf: str) -> str:
     path = new_folder(spark, "landed")
     raw = standin(spark, sf, "readings_raw")
     bodies = raw.groupBy(F.col("dia").alias("day"), F.expr(f"ord div {RESPONSE_ROWS}").alias("seq")).agg(
