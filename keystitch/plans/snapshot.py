@@ -55,3 +55,24 @@ def restore_table(spark: SparkSession, source: str, target: str, schema: StructT
     rows = spark.read.parquet(source) if schema is None else read_csv_gz(spark, source, schema)
     rows.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
+
+
+def restore_snapshot(
+    spark: SparkSession,
+    folder: str,
+    names: Iterable[str],
+    target: str,
+    exports: Mapping[str, str] | None = None,
+) -> dict[str, DataFrame]:
+    """Replace the tables below `target` by those of a snapshot.
+
+    `exports` gives for some tables the folder of a filtered CSV export to load instead; the snapshot
+    then only provides their schema.
+    """
+    exports = exports or {}
+    restored = {}
+    for name, held in read_snapshot(spark, folder, names).items():
+        schema = held.schema if name in exports else None
+        source = exports.get(name, f"{folder}/{name}")
+        restored[name] = restore_table(spark, source, f"{target}/{name}", schema)
+    return restored

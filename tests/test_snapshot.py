@@ -1,6 +1,7 @@
 """Exports, snapshots, restores and the swap of a table."""
 
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 
@@ -9,7 +10,7 @@ from keystitch.plans import snapshot as S
 from keystitch.sources.csvfiles import read_csv_gz, write_csv_gz
 from keystitch.sources.jdbc import jdbc_options, modified_table
 from keystitch.sources.specs import DOCUMENTS
-from keystitch.sources.tables import swap_table
+from keystitch.sources.tables import shared_dir, swap_table
 
 TEXTS = [None, "", " ", "  a  ", 'say "x"', "a,b", "line\nbreak", "\r\n", "\\", "\\N", "ñ", '"', '""', "\t"]
 
@@ -37,10 +38,9 @@ def test_snapshot_and_restore(spark, tmp_path):
     assert manifest == {"users": (1, 2, False), "moves": (2, 0, True)}
 
     for _ in range(2):  # restoring again replaces what is there
-        restored = {
-            "users": S.restore_table(spark, f"{folder}/users", f"{dev}/users"),
-            "moves": S.restore_table(spark, f"{folder}/moves_csv", f"{dev}/moves", held["moves"].schema),
-        }
+        restored = S.restore_snapshot(
+            spark, folder, ["users", "moves"], dev, {"moves": f"{folder}/moves_csv"}
+        )
     assert [tuple(r) for r in restored["moves"].collect()] == [(2, date(2026, 1, 1))]
     counts = {r.check: r.total for r in verify_counts(restored, len(restored)).collect()}
     assert counts == {"tables": "2", "users": "2", "moves": "1"}
@@ -65,3 +65,14 @@ def test_jdbc_settings():
     query = modified_table(DOCUMENTS, "01/02/2025 00:00:00:000")
     assert "CONVERT(DATETIME, CTIMESTAMP, 101) > CONVERT(DATETIME, '01/02/2025 00:00:00:000', 101)" in query
     assert query.startswith("(SELECT CIDDOCUMENTO, ") and query.endswith(") AS modified")
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    def session(master, **conf):
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert shared_dir(session("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})) == "hdfs:///shared"
+    with pytest.raises(RuntimeError):
+        shared_dir(session("yarn"))
+    local = shared_dir(session("local[2]"))
+    assert local == shared_dir(session("local[4]"))

@@ -30,10 +30,9 @@ def snapshot_restore(spark, sf):
     orders = driver_table(spark, sf, "orders")
     S.write_snapshot({"orders": orders, "customer": driver_table(spark, sf, "customer")}, folder, ["orders"])
     S.export_since(orders, "o_orderdate", FLOOR, f"{folder}/orders_csv")
-    S.restore_table(spark, f"{folder}/orders", f"{restored}/orders")
-    schema = spark.read.parquet(f"{folder}/orders").schema
-    rows = S.restore_table(spark, f"{folder}/orders_csv", f"{restored}/orders", schema)
-    clients = S.restore_table(spark, f"{folder}/customer", f"{restored}/customer")
+    exports = {"orders": f"{folder}/orders_csv"}
+    tables = S.restore_snapshot(spark, folder, ["orders", "customer"], restored, exports)
+    rows, clients = tables["orders"], tables["customer"]
     return rows.join(clients, rows.o_custkey == clients.c_custkey, "left").drop("c_custkey")
 
 
