@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,19 +14,12 @@ def scan_keys(table: DataFrame, source_key: str, key: str | None = None) -> Data
     return table.select(F.col(source_key).alias(key or source_key))
 
 
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="shared-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Shared folder the cluster names in `spark.checkpoint.dir`. Only a session without a cluster,
-    whose master is `local`, may leave it unset."""
+    """Shared folder the cluster names in `spark.checkpoint.dir`; where that is unset, one in the
+    warehouse, which every session has and all executors reach."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and spark.sparkContext.master.startswith("local"):
-        folder = _local_dir()
     if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/keystitch-staged"
     return folder.rstrip("/")
 
 
@@ -47,6 +38,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that `new_folder` or `stage` made, through the file system Spark uses."""
+    jvm, target = spark.sparkContext._jvm, path
+    folder = jvm.org.apache.hadoop.fs.Path(target)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def swap_table(df: DataFrame, table: str, base: str) -> DataFrame:
     """Replace a catalog table: write a complete new copy below `base`, then point the table to it.
 
