@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keystitch.llm import bpe
+from keystitch.llm import ann, bpe, topk
 
 #: The files of public tokenizers are a setting of the site; nothing is copied from there.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -16,8 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_topk": lambda spark, sf_dir: topk.search(_table(spark, sf_dir, "embeddings")),
+    "op6_ann": lambda spark, sf_dir: ann.search(_table(spark, sf_dir, "embeddings")),
     "op1_bpe": lambda spark, sf_dir: bpe.digests(_table(spark, sf_dir, "documents"), WORD_BPE),
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_topk": topk.SEARCH_SQL}
