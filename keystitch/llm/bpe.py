@@ -20,15 +20,16 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 #: Chunks a worker keeps encoded; past that it forgets all of them and starts anew. Only speed depends on it.
-CACHED_CHUNKS = 600_000
-#: Characters that are encoded together.
-SLICE_CHARS = 4_000_000
+CACHED_CHUNKS = 250_000
+#: Bytes of text or ids that are converted together.
+SLICE_BYTES = 1_000_000
 _SPACES = "\t-\r \x85\xa0  -     　"
 _SPLIT = re.compile(f"[{_SPACES}]+")
 # str.split() also cuts at these, which are ordinary characters to the vocabulary
@@ -200,24 +201,21 @@ def _with_column(df: DataFrame, name: str, kind, column: str, convert, model) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply, target = convert(model.value), pa.binary() if isinstance(kind, BinaryType) else pa.string()
         for batch in batches:
-            values = batch.column(batch.schema.get_field_index("keystitch_in")).to_pylist()
+            values = batch.column(batch.schema.get_field_index("keystitch_in"))
             others = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             for a, b in _slices(values):
-                out = pa.array(apply(values[a:b]), target)
+                out = pa.array(apply(values.slice(a, b - a).to_pylist()), target)
                 yield pa.RecordBatch.from_arrays([*(o.slice(a, b - a) for o in others), out], [*kept, name])
 
     return df.select(*kept, F.col(column).alias("keystitch_in")).mapInArrow(run, schema)
 
 
-def _slices(values: list) -> Iterator[tuple[int, int]]:
-    begin = size = 0
-    for i, v in enumerate(values):
-        size += len(v or "")
-        if size >= SLICE_CHARS:
-            yield begin, i + 1
-            begin, size = i + 1, 0
-    if begin < len(values):
-        yield begin, len(values)
+def _slices(values: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about SLICE_BYTES; a longer value is a range of its own."""
+    size = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    group = np.cumsum(size) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(size)]
+    yield from ((a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b)
 
 
 _ENCODERS: dict[str, _Encoder] = {}
