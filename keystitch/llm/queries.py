@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keystitch.llm import ann, bpe, packing, topk, warc
+from keystitch.llm import ann, bpe, packing, topk, toxicity, warc
 
 #: The files of public tokenizers are a setting of the site; nothing is copied from there.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -19,6 +19,9 @@ QUERIES = {
     "op2_warc": lambda spark, sf_dir: warc.archive(_table(spark, sf_dir, "pages")),
     "op3_packing": lambda spark, sf_dir: packing.pack_documents(_table(spark, sf_dir, "documents")),
     "op4_topk": lambda spark, sf_dir: topk.search(_table(spark, sf_dir, "embeddings")),
+    "op8_toxicity": lambda spark, sf_dir: toxicity.score(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    ),
     "op6_ann": lambda spark, sf_dir: ann.search(_table(spark, sf_dir, "embeddings")),
     "op1_bpe": lambda spark, sf_dir: bpe.digests(_table(spark, sf_dir, "documents"), WORD_BPE),
 }
