@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keystitch.llm import ann, bpe, packing, topk, toxicity, warc
+from keystitch.llm import ann, bpe, packing, substrings, topk, toxicity, warc
 
 #: The files of public tokenizers are a setting of the site; nothing is copied from there.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -19,6 +19,7 @@ QUERIES = {
     "op2_warc": lambda spark, sf_dir: warc.archive(_table(spark, sf_dir, "pages")),
     "op3_packing": lambda spark, sf_dir: packing.pack_documents(_table(spark, sf_dir, "documents")),
     "op4_topk": lambda spark, sf_dir: topk.search(_table(spark, sf_dir, "embeddings")),
+    "op5_substrings": lambda spark, sf_dir: substrings.digests(_table(spark, sf_dir, "documents")),
     "op8_toxicity": lambda spark, sf_dir: toxicity.score(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     ),
@@ -27,4 +28,4 @@ QUERIES = {
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {"op4_topk": topk.SEARCH_SQL}
+ORACLES: dict[str, str] = {"op4_topk": topk.SEARCH_SQL, "op5_substrings": substrings.DIGESTS_SQL}

@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,6 +27,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keystitch.sources.tables import stage
+
 DICTIONARY_ROWS, CURVE_ROWS, TRAIN_BYTES = 1500, 6000, 20_000
 ORDINARY_BYTES, TOXIC_BYTES = 32_768, 12_288
 #: Characters of a window; a longer word is several windows.
@@ -169,14 +172,16 @@ def score(docs: DataFrame, labels: DataFrame, fold: int = 5) -> DataFrame:
     known = labels.where("toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max("toxic").cast("int").alias("toxic")
     )
-    short = docs.where(F.octet_length("text") <= TRAIN_BYTES).where(~held_out)
-    train = short.join(known, "doc_id").withColumn("at", F.xxhash64("doc_id"))
-    # the bounded sample for the dictionaries: some documents of each label
-    sample = [
-        train.where(F.col("toxic") == label).orderBy("at", "doc_id", "text").limit(DICTIONARY_ROWS)
-        .select("at", "text").collect()
-        for label in (0, 1)
-    ]
+    # ids are chosen from the labels alone, so no text is shuffled; their number is bounded, and they are broadcast
+    ids = known.where(~held_out).withColumn("at", F.xxhash64("doc_id"))
+    first = [ids.where(F.col("toxic") == x).orderBy("at", "doc_id").limit(DICTIONARY_ROWS) for x in (0, 1)]
+    second = ids.orderBy(F.xxhash64("at"), "doc_id").limit(CURVE_ROWS)
+    uses = reduce(
+        DataFrame.unionByName, [part.withColumn("use", F.lit(use)) for use, part in enumerate([*first, second])]
+    )
+    short = docs.where(F.octet_length("text") <= TRAIN_BYTES)
+    train = stage(short.join(F.broadcast(uses), "doc_id"), "toxicity-training")
+    sample = [train.where(F.col("use") == x).orderBy("at", "doc_id", "text").select("at", "text").collect() for x in (0, 1)]
     rows = docs.select("doc_id", held_out.alias("held_out"), "text")
     if not all(sample):
         return rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
@@ -187,7 +192,7 @@ def score(docs: DataFrame, labels: DataFrame, fold: int = 5) -> DataFrame:
         )
 
     # each half of the documents for the curve is measured with dictionaries trained on the other half
-    second = train.orderBy(F.xxhash64("at"), "doc_id", "text").limit(CURVE_ROWS)
+    second = train.where(F.col("use") == 2)
     halves = [
         _with_features(
             second.where(F.pmod("at", F.lit(2)) == half).select("toxic", "text").repartition(12),
