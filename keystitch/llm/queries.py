@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keystitch.llm import ann, bpe, jaccard, packing, substrings, topk, toxicity, warc
+from keystitch.llm import ann, bpe, jaccard, packing, quality, substrings, topk, toxicity, warc
 
 #: The files of public tokenizers are a setting of the site; nothing is copied from there.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -24,6 +24,9 @@ QUERIES = {
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     ),
     "op9_jaccard": lambda spark, sf_dir: jaccard.linked(_table(spark, sf_dir, "documents")),
+    "op10_quality": lambda spark, sf_dir: quality.classify(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    ),
     "op6_ann": lambda spark, sf_dir: ann.search(_table(spark, sf_dir, "embeddings")),
     "op1_bpe": lambda spark, sf_dir: bpe.digests(_table(spark, sf_dir, "documents"), WORD_BPE),
 }
