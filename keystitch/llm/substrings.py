@@ -204,7 +204,7 @@ def _smallest(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["home", "low", "high", "doc"])
 
 
-def _strip(window: int):
+def _strip(window: int, original: bool):
     """Documents of a bucket without the words of windows that a document with a smaller id has."""
 
     def run(docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
@@ -246,15 +246,15 @@ def _strip(window: int):
                 kept.append(b" ".join(parts).decode())
             number += words.counts.tolist()
             removed += lost.tolist()
-        out = docs.drop(columns=["home", "text"])
+        out = docs.drop(columns=["home"] if original else ["home", "text"])
         return out.assign(kept=kept, n_words=np.array(number, "i8"), n_removed=np.array(removed, "i8"))
 
     return run
 
 
-def dedup(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTEST) -> DataFrame:
-    """`docs` without their texts, and with what is left of each (`kept`, words joined by one space), `n_words` and
-    `n_removed`. Other columns of `docs` pass through; those with the names of results are replaced."""
+def dedup(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, original: bool = False) -> DataFrame:
+    """`docs` without their texts, unless `original` is set, and with what is left of each (`kept`, words joined by one
+    space), `n_words` and `n_removed`. Other columns of `docs` pass through; those with the names of results are replaced."""
     spark = docs.sparkSession
     docs = docs.drop("kept", "n_words", "n_removed", "home")
     docs = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
@@ -280,21 +280,22 @@ def dedup(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTEST) -> Da
             "substrings",
         )
     else:
-        return _finish(docs, rows, told, window)
+        return _finish(docs, rows, told, window, original)
     nothing = spark.createDataFrame([], "home int, low binary, high binary, doc binary")
-    return _finish(docs, rows, nothing, window)
+    return _finish(docs, rows, nothing, window, original)
 
 
-def _finish(docs: DataFrame, rows: DataFrame, told: DataFrame, window: int) -> DataFrame:
-    kept = [f for f in rows.schema.fields if f.name not in ("text", "home")]
+def _finish(docs: DataFrame, rows: DataFrame, told: DataFrame, window: int, original: bool) -> DataFrame:
+    gone = ["home"] if original else ["home", "text"]
+    kept = [f for f in rows.schema.fields if f.name not in gone]
     schema = ", ".join(
         [*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "kept string", "n_words long", "n_removed long"]
     )
-    done = rows.groupBy("home").cogroup(told.groupBy("home")).applyInPandas(_strip(window), schema)
+    done = rows.groupBy("home").cogroup(told.groupBy("home")).applyInPandas(_strip(window, original), schema)
     spaced = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
     number = F.when(spaced == "", 0).otherwise(F.size(F.split(spaced, " "))).cast("long")
     rest = docs.where("doc_id is null").withColumns({"kept": spaced, "n_words": number, "n_removed": F.lit(0).cast("long")})
-    return done.unionByName(rest.drop("text"))
+    return done.unionByName(rest.drop(*gone))
 
 
 def digests(docs: DataFrame) -> DataFrame:
