@@ -1,5 +1,78 @@
-"""The pipeline over documents."""
+"""From raw documents to training sequences, stage by stage.
 
-STAGES = []
-QUERIES = {}
-ORACLES = {}
+Each stage is called with the session, the documents that its predecessor kept and the folder of the tables, and
+returns a DataFrame; `run` writes it below the shared folder and reads it back for the next one. All stages but the
+last return the columns of `documents`.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from keystitch.llm import jaccard, packing, quality, rows, substrings, toxicity
+from keystitch.sources.tables import stage
+
+#: Near copies share four fifths of their shingles of five words.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+#: Passages of more than 50 words that repeat are taken out where they are not in the document with the smallest id.
+PASSAGE_WORDS = 50
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def keep_fluent(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    judged = quality.classify(docs, _labels(spark, sf_dir))
+    return rows.without(docs, stage(judged.where("rejected").select("doc_id").distinct(), "rejected"))
+
+
+def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted to be toxic."""
+    scored = toxicity.score(docs, _labels(spark, sf_dir))
+    return rows.without(docs, stage(scored.where("predicted = 1").select("doc_id").distinct(), "rejected"))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component of near copies."""
+    found = jaccard.join(docs, NEAR_WORDS, NEAR_PERCENT)
+    copies = found.where("component_id <> doc_id").select("doc_id").distinct()
+    return rows.without(docs, stage(copies, "rejected"))
+
+
+def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that a document with a smaller id has too; untouched texts stay as they are."""
+    done = substrings.dedup(docs, PASSAGE_WORDS, original=True)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    length = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars"))
+    return done.withColumns({"text": text, "n_chars": length}).select(*docs.columns)
+
+
+def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences of the documents that are left."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality classifier", keep_fluent),
+    ("toxicity", keep_civil),
+    ("n-gram Jaccard join", keep_one_of_each),
+    ("substring dedup", without_passages),
+    ("best-fit packing", into_sequences),
+]
+
+#: The models are trained and scores are real numbers, which SQL cannot follow; tests hold each stage against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, function in STAGES:
+        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs
+
+
+QUERIES = {"pipeline": run}
+ORACLES: dict[str, str] = {}
