@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keystitch.llm import ann, bpe, jaccard, packing, quality, substrings, topk, toxicity, warc
+from keystitch.llm import ann, bpe, jaccard, packing, quality, substrings, suffixes, topk, toxicity, warc
 
 #: The files of public tokenizers are a setting of the site; nothing is copied from there.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +20,7 @@ QUERIES = {
     "op3_packing": lambda spark, sf_dir: packing.pack_documents(_table(spark, sf_dir, "documents")),
     "op4_topk": lambda spark, sf_dir: topk.search(_table(spark, sf_dir, "embeddings")),
     "op5_substrings": lambda spark, sf_dir: substrings.digests(_table(spark, sf_dir, "documents")),
+    "op7_suffixes": lambda spark, sf_dir: suffixes.digests(_table(spark, sf_dir, "documents")),
     "op8_toxicity": lambda spark, sf_dir: toxicity.score(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     ),
