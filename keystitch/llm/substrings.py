@@ -39,7 +39,7 @@ _FOUND = "bucket int, target int, low binary, high binary, doc binary"
 def levels(window: int, shortest: int = SHORTEST) -> list[int]:
     """Lengths that double, up to the rounding, from at least `shortest` to `window`."""
     found = [window]
-    while (found[-1] + 1) // 2 >= shortest:
+    while found[-1] > 1 and (found[-1] + 1) // 2 >= shortest:
         found.append((found[-1] + 1) // 2)
     return found[::-1]
 
