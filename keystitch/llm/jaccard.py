@@ -5,10 +5,12 @@ of a class is dealt into K parts by hash, where K is more than the number of tok
 such sizes can differ, so similar sets have a part in common, token for token. Classes that share parts are put
 into groups, each class into the one of its parts that most classes share, and groups into blocks of bounded size.
 
-A block is a column of the token-group matrix: its members and the union of their tokens. Blocks meet where a member
-of one shares a part with a member of the other. Of a pair of blocks only members whose overlap with the union of
-the other block can reach the threshold are compared, and these exactly, all at once over the tokens that both blocks
-have. What leaves a pair of blocks is the number of links of each member and a star for each component, never the pairs.
+First, blocks meet where a member of one shares a part with a member of the other, and only sketches travel: how many
+tokens of a set fall into each of some bins bounds every overlap from above. Classes that may reach the threshold
+form the final groups. A block of those is a column of the token-group matrix: its members and the union of their
+tokens. Of a pair of blocks of one group only members whose overlap with the union of the other block can reach the
+threshold are compared, and these exactly, all at once over the tokens that both blocks have. What leaves a pair of
+blocks is the number of links of each member and a star for each component, never the pairs.
 
 Defined cases: A-Z count as a-z. A text with fewer words than n is one token, its whole sequence. Texts that are null
 or without words have no tokens, are linked with nothing, and are components of their own, as are rows without an
@@ -25,12 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keystitch.llm.hashing import Rolling, Words, mix, slices
+from keystitch.llm.rows import small
 from keystitch.llm.substrings import _bytes, _joined, _packed
 from keystitch.sources.tables import stage
 
 WORDS, PERCENT = 3, 90
 #: Members of a block; a larger group is several blocks.
 BLOCK_MEMBERS = 512
+#: Bins of a sketch, for sets below LARGE tokens and above.
+BINS, LARGE, LARGE_BINS = 64, 1024, 512
 #: Tokens of two blocks that are counted at a time.
 COLUMNS = 8192
 
@@ -84,6 +89,15 @@ class Sets:
         return doc, mix(value ^ mix((doc_slot[doc].astype(np.uint64) << np.uint64(32)) + within + np.uint64(1)))
 
 
+def _sketches(sets: Sets) -> list[bytes]:
+    """For each set how many tokens fall into each bin."""
+    bins = np.where(sets.size < LARGE, BINS, LARGE_BINS)
+    begins = np.cumsum(bins) - bins
+    at = begins[sets.doc] + (sets.token % bins[sets.doc].astype(np.uint64)).astype(np.int64)
+    counts = np.bincount(at, minlength=int(bins.sum())).astype("<u4")
+    return [counts[s : s + k].tobytes() for s, k in zip(begins, bins, strict=True)]
+
+
 def _describe(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -92,7 +106,7 @@ def _describe(n: int):
                 sets = Sets(texts[a:b], n)
                 one, two = (x.view("i8") for x in sets.classes())
                 yield pd.DataFrame(
-                    {"doc_id": pdf["doc_id"].to_numpy()[a:b], "n_shingles": sets.size, "one": one, "two": two}
+                    {"doc_id": pdf["doc_id"].array[a:b], "n_shingles": sets.size, "one": one, "two": two, "sketch": _sketches(sets)}
                 )
 
     return run
@@ -142,6 +156,62 @@ def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"class": owner[keep].view("i8"), "part": value[keep].view("i8"), "n": n[keep]})
 
 
+def _sketch_block(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.drop_duplicates("class")
+    packed = [pdf[c].to_numpy("<i8").tobytes() for c in ("class", "size")]
+    return pd.DataFrame([[pdf["block"].iloc[0], *packed, b"".join(pdf["sketch"])]], columns=["block", "ids", "sizes", "sketches"])
+
+
+def _opened(ids: bytes, sizes: bytes, sketches: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
+    """Ids and sizes of a sketch block, its sketches folded to BINS, and the full ones of large sets."""
+    ids, sizes, counts = np.frombuffer(ids, "<i8"), np.frombuffer(sizes, "<i8"), np.frombuffer(sketches, "<u4")
+    bins = np.where(sizes < LARGE, BINS, LARGE_BINS)
+    begins = np.cumsum(bins) - bins
+    large = np.flatnonzero(sizes >= LARGE)
+    full = {i: counts[begins[i] : begins[i] + LARGE_BINS] for i in large.tolist()}
+    folded = np.zeros((len(ids), BINS), np.int32)
+    small = np.flatnonzero(sizes < LARGE)
+    folded[small] = counts[begins[small][:, None] + np.arange(BINS)]
+    for i, x in full.items():
+        folded[i] = x.reshape(-1, BINS).sum(0)
+    return ids, sizes, folded, full
+
+
+def _may_link(percent: int):
+    """Stars of the classes of a pair of blocks whose sketches allow a link."""
+
+    def reach(bound, a, b):
+        return 100 * bound >= percent * (a + b - bound)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                same = row.a == row.b
+                a = _opened(row.ids, row.sizes, row.sketches)
+                b = a if same else _opened(row.ids_b, row.sizes_b, row.sketches_b)
+                x, y = np.nonzero(reach(np.minimum(a[1][:, None], b[1][None, :]), a[1][:, None], b[1][None, :]))
+                if same:
+                    x, y = x[x < y], y[x < y]
+                keep = []
+                for at in range(0, len(x), 1 << 16):
+                    i, j = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
+                    bound = np.minimum(a[2][i], b[2][j]).sum(1)
+                    ok = reach(bound, a[1][i], b[1][j])
+                    for t in np.flatnonzero(ok & (a[1][i] >= LARGE) & (b[1][j] >= LARGE)).tolist():
+                        closer = int(np.minimum(a[3][int(i[t])], b[3][int(j[t])]).sum())
+                        ok[t] = reach(closer, int(a[1][i[t]]), int(b[1][j[t]]))
+                    keep.append(np.flatnonzero(ok) + at)
+                keep = np.concatenate(keep) if keep else np.zeros(0, np.int64)
+                if not len(keep):
+                    continue
+                ids = a[0] if same else np.r_[a[0], b[0]]
+                label = _stars(x[keep], y[keep] if same else y[keep] + len(a[0]), len(ids))
+                met = np.unique(np.r_[x[keep], y[keep] if same else y[keep] + len(a[0])])
+                yield pd.DataFrame({"u": ids[met], "v": ids[label[met]]})
+
+    return run
+
+
 def _tokens(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -274,7 +344,9 @@ def components(edges: DataFrame) -> DataFrame:
         edges = stage(small.where("u <> v").distinct(), "edges")
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == known:
-            return edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
+            heads = edges.select(F.col("v").alias("u"), "v")
+            nodes = edges.unionByName(heads).groupBy("u").agg(F.min("v").alias("component"))
+            return nodes.withColumnRenamed("u", "node")
         known = state
 
 
@@ -283,29 +355,53 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block_members:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    narrow = stage(docs.mapInPandas(_describe(n), "doc_id long, n_shingles long, one long, two long"), "jaccard-sets")
-    taking = narrow.where("n_shingles > 0 and doc_id is not null")
-    classes = stage(
-        taking.groupBy("one", "two").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "jaccard-classes"
+    narrow = stage(
+        docs.mapInPandas(_describe(n), "doc_id long, n_shingles long, one long, two long, sketch binary"), "jaccard-sets"
     )
+    taking = narrow.where("n_shingles > 0 and doc_id is not null")
+    first = F.min(F.struct("doc_id", "n_shingles", "sketch")).alias("first")
+    classes = taking.groupBy("one", "two").agg(first, F.count("*").alias("copies"))
+    classes = classes.select("one", "two", "first.*", "copies").withColumnRenamed("doc_id", "rep")
+    classes = stage(classes.withColumnRenamed("n_shingles", "size"), "jaccard-classes")
+    narrow = narrow.drop("sketch")
     whole = docs.where("doc_id is not null")
     signed = whole.mapInPandas(_sign(n, percent, buckets), "bucket int, value binary, class binary")
     shared = stage(signed.groupBy("bucket").applyInPandas(_shared, "class long, part long, n long"), "jaccard-parts")
-    home = shared.groupBy("class").agg(F.max(F.struct("n", "part")).alias("most")).select("class", "most.part")
-    home = home.withColumnRenamed("part", "grp")
-    count = home.groupBy("grp").agg(F.ceil(F.count("*") / block_members).alias("blocks"))
-    home = stage(
-        home.join(count, "grp").select(
-            "class", F.xxhash64("grp", F.pmod(F.xxhash64("class"), F.col("blocks"))).alias("block")
-        ),
-        "jaccard-home",
+
+    def blocks_of(home: DataFrame) -> DataFrame:
+        """class and block of `home` (class, grp): members of a group are dealt into blocks by hash."""
+        count = home.groupBy("grp").agg(F.ceil(F.count("*") / block_members).alias("blocks"))
+        sub = F.pmod(F.xxhash64("class"), F.col("blocks"))
+        return home.join(count, "grp").select("class", "grp", F.xxhash64("grp", sub).alias("block"))
+
+    def pairs_of(members: DataFrame) -> DataFrame:
+        """Each pair of the blocks that stand together in a row of `members` (blocks), once."""
+        pairs = members.select(F.explode("blocks").alias("a"), "blocks").select("a", F.explode("blocks").alias("b"))
+        return stage(pairs.where(F.col("a") <= F.col("b")).distinct(), "jaccard-pairs")
+
+    def met(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
+        """Pairs with the packed members of both; a block is not sent to itself."""
+        left = blocks.withColumnRenamed("block", "a")
+        right = blocks.select(*(F.col(c).alias("b" if c == "block" else f"{c}_b") for c in blocks.columns))
+        two = pairs.where("a <> b").join(left, "a").join(right, "b")
+        return two.unionByName(pairs.where("a = b").join(left, "a"), allowMissingColumns=True)
+
+    home = shared.groupBy("class").agg(F.max(F.struct("n", "part")).alias("most")).select("class", F.col("most.part").alias("grp"))
+    home = stage(blocks_of(home), "jaccard-home")
+    together = shared.join(home, "class").groupBy("part").agg(F.array_sort(F.collect_set("block")).alias("blocks"))
+    sketched = home.join(classes, F.col("class") == F.col("one")).select("block", "class", "size", "sketch")
+    sketched = stage(
+        sketched.groupBy("block").applyInPandas(_sketch_block, "block long, ids binary, sizes binary, sketches binary"),
+        "jaccard-sketches",
     )
-    # blocks of a part, and each pair of them
-    members = shared.join(home, "class").groupBy("part").agg(F.array_sort(F.collect_set("block")).alias("blocks"))
-    pairs = members.select(F.explode("blocks").alias("a"), "blocks").select("a", F.explode("blocks").alias("b"))
-    pairs = stage(pairs.where(F.col("a") <= F.col("b")).distinct(), "jaccard-pairs")
-    reps = home.join(classes, F.col("class") == F.col("one")).select(F.col("rep").alias("doc_id"), "block", "copies", "class")
-    tokens = whole.join(reps, "doc_id").mapInPandas(
+    near = stage(met(pairs_of(together), sketched).mapInPandas(_may_link(percent), "u long, v long"), "jaccard-near")
+    # a link joins classes of one component of those that may be linked
+    home = components(near).select(F.col("node").alias("class"), F.col("component").alias("grp"))
+    home = stage(blocks_of(home), "jaccard-home")
+    pairs = pairs_of(home.groupBy("grp").agg(F.array_sort(F.collect_set("block")).alias("blocks")))
+    reps = home.join(classes, F.col("class") == F.col("one"))
+    reps = stage(reps.select(F.col("rep").alias("doc_id"), "block", "copies", "class"), "jaccard-reps")
+    tokens = whole.join(small(reps), "doc_id").mapInPandas(
         _tokens(n), "doc_id long, block long, copies long, class long, size long, tokens binary"
     )
     blocks = stage(
@@ -314,13 +410,7 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block_members:
         ),
         "jaccard-blocks",
     )
-    left = blocks.withColumnRenamed("block", "a")
-    right = blocks.select(*(F.col(c).alias("b" if c == "block" else f"{c}_b") for c in blocks.columns))
-    # a block is not sent to itself
-    met = pairs.where("a <> b").join(left, "a").join(right, "b").unionByName(
-        pairs.where("a = b").join(left, "a"), allowMissingColumns=True
-    )
-    links = stage(met.mapInPandas(_compare(percent), "doc_id long, head long, n long"), "jaccard-links")
+    links = stage(met(pairs, blocks).mapInPandas(_compare(percent), "doc_id long, head long, n long"), "jaccard-links")
     found = components(links.select(F.col("doc_id").alias("u"), F.col("head").alias("v")))
     counted = links.groupBy("doc_id").agg(F.sum("n").alias("n"))
     described = classes.join(counted, F.col("rep") == F.col("doc_id"), "left").drop("doc_id")

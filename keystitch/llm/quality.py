@@ -194,8 +194,9 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     shards = max(1, -(-known.count() // SHARD_NGRAMS))
     scored = rows.withColumn("ll", F.lit(0.0))
     for number in range(shards):
-        part = known.where(F.pmod(F.xxhash64("g"), F.lit(shards)) == number).toPandas()
-        shard = spark.sparkContext.broadcast((part["g"].to_numpy("i8").view("u8"), part["p"].to_numpy("f4")))
+        part = known.where(F.pmod(F.xxhash64("g"), F.lit(shards)) == number).toArrow()
+        pair = part["g"].to_numpy().view("u8"), part["p"].to_numpy().astype("f4")
+        shard = spark.sparkContext.broadcast(pair)
         scored = scored.mapInPandas(_add(shard, f"{uuid.uuid4()}"), "doc_id long, lang string, text string, trusted boolean, ll double")
     size = F.octet_length("text")
     return scored.select("doc_id", "lang", F.when(size > 0, F.exp(-F.col("ll") / size)).alias("perplexity"))

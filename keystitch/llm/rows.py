@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 BROADCAST_IDS = 2_000_000
 
 
-def _small(ids: DataFrame) -> DataFrame:
+def small(ids: DataFrame) -> DataFrame:
+    """`ids`, to be broadcast if there are few."""
     return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of `docs` whose doc_id is not in the one column of `ids`. Rows without an id stay."""
-    return docs.join(_small(ids.toDF("doc_id")), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(small(ids.toDF("doc_id")), "doc_id", "left_anti").select(*docs.columns)
 
 
 def flagged(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     """`docs` with a column that tells whether doc_id is among the distinct `ids`."""
     marked = ids.toDF("doc_id").distinct().withColumn(name, F.lit(True))
-    return docs.join(_small(marked), "doc_id", "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    return docs.join(small(marked), "doc_id", "left").withColumn(name, F.coalesce(name, F.lit(False)))
