@@ -71,14 +71,14 @@ def unit_match(
     beyond the third are cut, only the first code counts, and the stored code needs two or three
     digits as written. The rules exclude each other.
     """
-    short_prefix = F.regexp_replace(trimmed, rf"(?i)^({UNIT_PREFIX})0*([0-9]{{1,3}})\z", "$1")
-    short_digits = F.regexp_replace(upper, rf"^{UNIT_PREFIX}0*([0-9]{{1,3}})\z", "$1")
+    # under the short shape a code is its first three characters and the digits behind them
+    padded = F.concat(F.substring(upper, 1, 3), _pad3(F.substring(upper, 4, 3)))
     rules = {
         "direct": (upper.rlike(UNIT_THREE_DIGITS), upper, upper, "high"),
         "padded": (
             upper.rlike(UNIT_SHORT),
-            F.concat(_group(trimmed, rf"^({UNIT_PREFIX})", 1), _pad3(_group(trimmed, r"-([0-9]{1,3})\z", 1))),
-            F.concat(F.upper(short_prefix), _pad3(short_digits)),
+            F.when(F.substring(trimmed, 1, 3) == F.substring(upper, 1, 3), padded),
+            padded,
             "high",
         ),
         "text": (

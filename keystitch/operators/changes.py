@@ -89,21 +89,17 @@ def change_rows(
     stamp: str | None = None,
     watermark: Column | None = None,
     order: Sequence[str] = (),
-    unique: bool = False,
 ) -> DataFrame:
     """Full rows of `change_keys` with their outcome, one per key.
 
     Of several source rows the last modified one wins, else the last one, by `order`. The source is
-    reduced to one row per key before it is joined, so that a much repeated key is never collected.
-    `unique` says that no key repeats, which leaves that step out: with few staged keys the source is
-    then filtered against a broadcast and not shuffled at all.
+    first cut to the wanted keys; with few staged keys that is a filter against a broadcast, and only
+    what is left is sorted. Each task passes on one row per key, so a much repeated key is never collected.
     """
     wanted = keys.filter(F.col("outcome") != "rejected").select(key, "outcome")
     rows = source.filter(F.col(key).isNotNull()).withColumn("_modified", _modified(stamp, watermark))
-    if not unique:
-        rows = last_per_key(rows, [key], ["_modified", *order])
-    rows = rows.join(wanted, key).filter((F.col("outcome") == "inserted") | F.col("_modified"))
-    return rows.drop("_modified")
+    rows = last_per_key(rows.join(wanted.select(key), key, "left_semi"), [key], ["_modified", *order])
+    return rows.join(wanted, key).filter((F.col("outcome") == "inserted") | F.col("_modified")).drop("_modified")
 
 
 def change_counts(keys: DataFrame, name: str) -> DataFrame:

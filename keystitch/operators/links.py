@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keystitch.functions.codes import (
@@ -157,7 +157,8 @@ def link_movements(
     links: DataFrame,
     steps: Sequence[str] = ("direct", "padded", "text"),
 ) -> DataFrame:
-    """New movement links. A movement falls under at most one of the three rules, so one pass does."""
+    """New movement links. A text falls under at most one of the three rules, so one pass does. Of several
+    rows of one movement that name the same unit the one with the earliest rule counts."""
     text = F.col("extra_text_one")
     coded = (
         active(movements)
@@ -181,10 +182,17 @@ def link_movements(
             "confidence",
             "rule",
         )
-        .distinct()
+        .groupBy("movement_id", "unit_id")
+        .agg(F.min(F.struct(_rank(steps), "eco_number", "match_method", "confidence", "rule")).alias("link"))
+        .select("movement_id", "unit_id", "link.eco_number", "link.match_method", "link.confidence", "link.rule")
     )
 
 
+def _rank(steps: Sequence[str]) -> Column:
+    """Place of a rule in the order of the steps."""
+    return F.array_position(F.lit([*steps]), F.col("rule")).alias("rank")
+
+
 def document_link_stats(links: DataFrame) -> DataFrame:
     """One row of counts over the active document links, from one scan."""
     method, kind = F.col("match_method"), F.col("link_type")

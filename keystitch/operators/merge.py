@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keystitch.operators.keys import first_per_key
+from keystitch.operators.keys import first_per_key, last_per_key
 
 
 def with_synced_at(rows: DataFrame, synced_at: datetime | str) -> DataFrame:
@@ -16,8 +16,14 @@ def with_synced_at(rows: DataFrame, synced_at: datetime | str) -> DataFrame:
     return rows.withColumn("synced_at", F.lit(synced_at).cast("timestamp"))
 
 
+def _last_changes(changes: DataFrame, key: str, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One change per key, the last one by `order`, so that target rows never multiply."""
+    names = dict.fromkeys(c for c in (*columns, *order) if c != key)
+    return last_per_key(changes.select(key, *names), [key], order).select(key, *columns)
+
+
 def overwrite_rows(target: DataFrame, changes: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Target with `columns` replaced where `changes` has the key; a NULL overwrites too.
+    """Target with `columns` replaced where `changes`, of one row per key, has the key; a NULL overwrites too.
 
     A left join: the target keeps its place and is not shuffled when the changes are small, and a
     skewed target partition can be split when they are not.
@@ -45,10 +51,12 @@ def upsert(
     key: str,
     columns: Sequence[str],
     synced_at: datetime | str | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """Insert or overwrite rows by key. `rows` has one row per key; target columns that are not in
-    `columns` stay as they are, and are NULL in new rows."""
+    """Insert or overwrite rows by key. Of several rows of a key the last one by `order` wins; target
+    columns that are not in `columns` stay as they are, and are NULL in new rows."""
     columns = [c for c in columns if c != key]
+    rows = _last_changes(rows, key, columns, order)
     if synced_at is not None:
         rows, columns = with_synced_at(rows, synced_at), [*columns, "synced_at"]
         if "synced_at" not in target.columns:
@@ -70,9 +78,12 @@ def new_rows(target: DataFrame, rows: DataFrame, keys: Sequence[str], order: Seq
     return first.join(target.select(*keys), list(keys), "left_anti")
 
 
-def patch(target: DataFrame, changes: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Overwrite some columns of known keys; nothing is inserted and no load time is set."""
-    return overwrite_rows(target, changes, key, columns)
+def patch(
+    target: DataFrame, changes: DataFrame, key: str, columns: Sequence[str], order: Sequence[str] = ()
+) -> DataFrame:
+    """Overwrite some columns of known keys; nothing is inserted and no load time is set. Of several
+    changes of a key the last one by `order` counts."""
+    return overwrite_rows(target, _last_changes(changes, key, columns, order), key, columns)
 
 
 def delete_where(target: DataFrame, condition: Column) -> DataFrame:

@@ -21,7 +21,7 @@ from keystitch.operators.readings import (
     valid_readings,
 )
 from keystitch.operators.reports import readings_summary
-from keystitch.sources.responses import scan_responses
+from keystitch.sources.responses import explode_responses, failed_days, scan_bodies
 from keystitch.sources.tables import stage
 
 READINGS_SCHEMA = T.StructType(
@@ -43,6 +43,7 @@ READINGS_SCHEMA = T.StructType(
 @dataclass(frozen=True)
 class IngestRun:
     day_counts: DataFrame
+    totals: DataFrame
     summary: DataFrame
 
 
@@ -70,7 +71,8 @@ def ingest_readings(
     """Append the readings of the pending days, or of a given range, and count them per day.
 
     Both the responses and the table are pruned to these days. Runs can be repeated: a known
-    (date, hour, tank_number) is skipped.
+    (date, hour, tank_number) is skipped. A day without a landed body, or with an unreadable one, is
+    a failed day: what can be read of it is loaded, and in the totals it counts as an error only.
     """
     manual = first is not None or last is not None
     target = read_readings(spark, table)
@@ -78,8 +80,9 @@ def ingest_readings(
     span = range_warnings(asked).first()  # one row by construction
     low, high = span["from_day"], span["to_day"]
 
-    raw = scan_responses(spark, landed).filter(F.col("dia").between(str(low), str(high)))
-    mapped = stage(map_readings(raw, keep=["dia", "seq", "pos"]), "readings")
+    bodies = scan_bodies(spark, landed).filter(F.col("day").between(str(low), str(high)))
+    failed = stage(failed_days(bodies, pending_days(asked)), "failed-days")
+    mapped = stage(map_readings(explode_responses(bodies), keep=["dia", "seq", "pos"]), "readings")
     known = target.filter(F.col("date").between(F.lit(low), F.lit(high)))
     new = stage(new_readings(known, valid_readings(mapped), ["seq", "pos"]), "new-readings")
     counts = day_counts(mapped, known)
@@ -87,5 +90,5 @@ def ingest_readings(
     append_readings(new, table)
 
     done = active(read_readings(spark, table)).agg(F.max("date"))
-    summary = readings_summary(ingest_totals(counts), span, None if manual else done)
-    return IngestRun(counts.orderBy("day"), summary)
+    totals = ingest_totals(counts, failed)
+    return IngestRun(counts.orderBy("day"), totals, readings_summary(totals, span, None if manual else done))

@@ -22,6 +22,7 @@ class SyncRun:
     table: DataFrame
     report: DataFrame
     rejects: DataFrame
+    good: DataFrame
 
 
 def sync_table(
@@ -35,8 +36,8 @@ def sync_table(
     """One table: missing and modified rows, upserted by key.
 
     1. The keys to load come from a narrow scan of both sides and are staged.
-    2. The full rows of these keys are fetched, checked and staged. With few keys, none of them
-       repeated, this is a broadcast filter over the source.
+    2. The full rows of these keys are fetched, checked and staged. With few keys this is a broadcast
+       filter over the source.
     3. The new table is the old one with the good rows merged in; with few rows again without a
        shuffle of the table.
 
@@ -53,8 +54,7 @@ def sync_table(
     rows = map_columns(source, spec, keep=[*extra, misfit(source, spec).alias("_misfit")])
     watermark = stage(watermark_time(target, stamp), "watermark").scalar() if stamp else None
     keys = stage(change_keys(rows, target, key, stamp, watermark), "keys")
-    unique = keys.filter(F.col("copies") > 1).isEmpty()
-    changed = change_rows(rows, keys, key, stamp, watermark, [*ordinals], unique).drop(*ordinals)
+    changed = change_rows(rows, keys, key, stamp, watermark, [*ordinals]).drop(*ordinals)
     changed = with_block(with_synced_at(changed, synced_at), spec)
     checks = {"value does not fit its type": F.col("_misfit").isNull()} | (checks or {})
     changed = stage(split_rejects(changed, checks).drop("_misfit"), "changes")
@@ -73,7 +73,7 @@ def sync_table(
         key,
         [*spec.value_columns, "synced_at", *blocks],
     )
-    return SyncRun(table, _report(keys, changed, spec.name), changed.filter(F.col("reason").isNotNull()))
+    return SyncRun(table, _report(keys, changed, spec.name), changed.filter(F.col("reason").isNotNull()), good)
 
 
 def _report(keys: DataFrame, changed: DataFrame, name: str) -> DataFrame:
@@ -112,13 +112,16 @@ def sync_tables(
     """Synchronise catalog tables one after the other; returns the report with its total.
 
     `read_source` gives the source table of a spec. `base` is the folder for the new versions of
-    tables without blocks; a table with blocks is a partitioned one and changes in place.
+    tables without blocks; a table with blocks is a partitioned one and changes in place. A table
+    without changes is not written.
     """
     reports = []
     for spec in specs:
         source = read_source(spec)
         run = sync_table(source, source.sparkSession.table(spec.target), spec, synced_at)
-        if spec.block_size is None:
+        if run.good.isEmpty():
+            pass
+        elif spec.block_size is None:
             swap_table(run.table, spec.target, f"{base}/{spec.target}")
         else:
             overwrite_partitions(stage(run.table, "blocks"), spec.target)

@@ -28,9 +28,13 @@ def write_csv_gz(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> No
     )
 
 
+# no text of a table has these two characters side by side: the first is not a character of Unicode
+_NO_TEXT = "\uffff\x00"
+
+
 def read_csv_gz(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return (
         spark.read.schema(schema)
-        .options(**_COMMON, multiLine="true", nullValue="\x00", emptyValue="", mode="FAILFAST")
+        .options(**_COMMON, multiLine="true", nullValue=_NO_TEXT, emptyValue="", mode="FAILFAST")
         .csv(path)
     )

@@ -18,32 +18,53 @@ READING_FIELDS = [
     "temperatura",
     "volument_agua",
 ]
-# Every field is read as text, so that a number, a quoted number and junk in one file stay apart.
-RESPONSE_SCHEMA = T.StructType(
+# Bodies are read as text, so that one odd reading or one unreadable body takes nothing else with it.
+UNREADABLE = "_corrupt_record"
+BODY_SCHEMA = T.StructType(
     [
         T.StructField("seq", T.LongType()),
-        T.StructField(
-            "data", T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in READING_FIELDS]))
-        ),
+        T.StructField("data", T.StringType()),
         T.StructField("day", T.StringType()),
+        T.StructField(UNREADABLE, T.StringType()),
     ]
 )
+_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE}
 
 
-def explode_responses(responses: DataFrame) -> DataFrame:
-    """One row per reading with its place of arrival. A body whose `data` is no array has no rows."""
-    return responses.select(
-        F.col("day").alias("dia"), "seq", F.posexplode("data").alias("pos", "reading")
-    ).select("dia", "seq", "pos", "reading.*")
+def explode_responses(bodies: DataFrame) -> DataFrame:
+    """One row per element of `data` with its place of arrival. Every field is read as text, so that a
+    number, a quoted number and junk in one body stay apart; an element that is no object is a row of
+    NULLs. A body that is unreadable, or whose `data` is no array, has no rows."""
+    fields = T.StructType([T.StructField(f, T.StringType()) for f in READING_FIELDS])
+    items = F.from_json("data", T.ArrayType(T.StringType()))
+    return (
+        bodies.select(F.col("day").alias("dia"), "seq", F.posexplode(items).alias("pos", "item"))
+        .withColumn("reading", F.from_json("item", fields))
+        .select("dia", "seq", "pos", "reading.*")
+    )
+
+
+def scan_bodies(spark: SparkSession, path: str) -> DataFrame:
+    """The landed bodies; `_corrupt_record` holds the text of one that is no JSON object."""
+    return spark.read.schema(BODY_SCHEMA).options(**_OPTIONS).json(path)
+
+
+def failed_days(bodies: DataFrame, days: DataFrame) -> DataFrame:
+    """Those of the requested days that have an unreadable body, or none with `data`."""
+    landed = bodies.groupBy(F.col("day").cast("date").alias("day")).agg(
+        F.max(F.col(UNREADABLE).isNotNull()).alias("unreadable"), F.count("data").alias("bodies")
+    )
+    failed = F.coalesce(F.col("unreadable") | (F.col("bodies") == 0), F.lit(True))
+    return days.join(landed, "day", "left").filter(failed).select("day")
 
 
 def scan_responses(spark: SparkSession, path: str) -> DataFrame:
     """Batch scan; a filter on `dia` prunes the day folders."""
-    return explode_responses(spark.read.schema(RESPONSE_SCHEMA).json(path))
+    return explode_responses(scan_bodies(spark, path))
 
 
 def stream_responses(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(RESPONSE_SCHEMA)
+    reader = spark.readStream.schema(BODY_SCHEMA).options(**_OPTIONS)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return explode_responses(reader.json(path))

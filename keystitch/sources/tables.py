@@ -49,9 +49,12 @@ def swap_table(df: DataFrame, table: str, base: str) -> DataFrame:
     """Replace a catalog table: write a complete new copy below `base`, then point the table to it.
 
     The table may be read by `df` itself. A failed write leaves the old copy in place, and readers
-    see either the old or the new one.
+    see either the old or the new one. The partitions of a partitioned table have places of their
+    own, which stay behind when the table moves; such a table is refused, see `overwrite_partitions`.
     """
     spark = df.sparkSession
+    if spark.catalog.tableExists(table) and any(c.isPartition for c in spark.catalog.listColumns(table)):
+        raise ValueError(f"{table} is partitioned; replace its partitions instead")
     path = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     if spark.catalog.tableExists(table):
@@ -69,6 +72,10 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
     table itself, so stage it first. A run that fails can be repeated from the staged rows.
     """
     spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if parts:
+        # few files a partition, whatever tasks the rows come from
+        df = df.hint("rebalance", *parts)
     # only the session setting counts here: insertInto does not look at writer options
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")

@@ -191,3 +191,11 @@ def test_stats_ignore_inactive_links(spark):
     ]
     stats = L.document_link_stats(spark.createDataFrame(rows, LINKS)).first()
     assert tuple(stats) == (2, 1, 0, 1, 1, 1)
+
+
+def test_a_movement_listed_twice_links_a_unit_once(spark):
+    movements = spark.createDataFrame([(1, "TP-007", 1), (1, "see TP-007 there", 1)], "movement_id int, extra_text_one string, active int")
+    units = spark.createDataFrame([(5, "TP-007", 1)], "id int, eco_number string, active int")
+    links = spark.createDataFrame([], "movement_id int, unit_id int, active int")
+    found = L.link_movements(movements, units, links).collect()
+    assert [(r.movement_id, r.unit_id, r.rule) for r in found] == [(1, 5, "direct")]

@@ -10,7 +10,7 @@ from keystitch.operators import ranges as R
 from keystitch.operators import readings as G
 from keystitch.plans.cleanup import clean_hours
 from keystitch.plans.ingest import READINGS_SCHEMA, ingest_readings, read_readings
-from keystitch.sources.responses import READING_FIELDS, scan_responses
+from keystitch.sources.responses import READING_FIELDS, failed_days, scan_bodies, scan_responses
 from keystitch.sources.tables import empty_table
 from keystitch.streaming.readings import ingest_stream
 
@@ -193,3 +193,20 @@ def test_bad_hours(spark, rows):
     assert dry.table.count() - real.table.count() == dry.count.first().total
     assert [r.id for r in real.table.orderBy("id").collect()] == [2, 3, 4]
     assert clean_hours(real.table, execute=True).count.first().total == 0
+
+
+def test_odd_elements_and_unreadable_bodies_lose_nothing_else(spark, tmp_path):
+    day = tmp_path / "day=2024-01-01"
+    day.mkdir()
+    good = '{"fecha": "2024-01-01", "hora": "01:00", "numero_tanque": 1}'
+    (day / "a.json").write_text(
+        f'{{"seq": 1, "data": [{good}, 5, "x", null, [1]]}}\n{{"seq": 2, "data": [{good}\n{{"seq": 3, "data": [{good}]}}\n'
+    )
+    (tmp_path / "day=2024-01-02").mkdir()
+    (tmp_path / "day=2024-01-02" / "b.json").write_text(f'{{"seq": 1, "data": [{good}]}}\n')
+    got = scan_responses(spark, str(tmp_path)).filter("dia = '2024-01-01'").orderBy("seq", "pos").collect()
+    assert [(r.seq, r.pos, r.numero_tanque) for r in got] == [
+        (1, 0, "1"), (1, 1, None), (1, 2, None), (1, 3, None), (1, 4, None), (3, 0, "1")]
+    days = spark.sql("select explode(sequence(date'2024-01-01', date'2024-01-03')) as day")
+    failed = failed_days(scan_bodies(spark, str(tmp_path)), days).orderBy("day").collect()
+    assert [str(r.day) for r in failed] == ["2024-01-01", "2024-01-03"]

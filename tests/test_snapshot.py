@@ -67,12 +67,17 @@ def test_jdbc_settings():
     assert query.startswith("(SELECT CIDDOCUMENTO, ") and query.endswith(") AS modified")
 
 
-def test_shared_folder_is_required_on_a_cluster():
+def test_shared_folder_is_one_that_all_executors_reach():
     def session(master, **conf):
         return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
     assert shared_dir(session("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})) == "hdfs:///shared"
-    with pytest.raises(RuntimeError):
-        shared_dir(session("yarn"))
-    local = shared_dir(session("local[2]"))
-    assert local == shared_dir(session("local[4]"))
+    for master in ("yarn", "local[2]"):
+        warehouse = {"spark.sql.warehouse.dir": "hdfs:///warehouse/"}
+        assert shared_dir(session(master, **warehouse)) == "hdfs:///warehouse/keystitch-staged"
+
+
+def test_csv_keeps_a_text_of_one_null_character(spark, rows, tmp_path):
+    df = spark.createDataFrame([(1, "\x00"), (2, None), (3, ""), (4, "a\x00b")], "k int, t string")
+    write_csv_gz(df, str(tmp_path / "csv"))
+    assert rows(read_csv_gz(spark, str(tmp_path / "csv"), df.schema)) == rows(df)

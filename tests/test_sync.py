@@ -16,6 +16,7 @@ from keystitch.operators.reports import max_id_or_one, summary_line, sync_report
 from keystitch.plans.extras import patch_extras
 from keystitch.plans.sync import sync_table, sync_tables
 from keystitch.sources.specs import SPECS, TableSpec, map_columns, select_specs, with_block
+from keystitch.sources.tables import swap_table
 
 SPEC = TableSpec("docs", "docs_copy", "id", "ID", "stamp", {"ID": "id", "V": "v", "TS": "stamp"})
 UNSTAMPED = TableSpec("movs", "movs_copy", "id", "ID", None, SPEC.columns)
@@ -275,3 +276,18 @@ def test_text_patch(spark, rows):
 def test_report_of_one_table(spark):
     part = spark.createDataFrame([("t", 1, 1, 0, 0)], "name string, missing long, inserted long, updated long, errors long")
     assert {r.name for r in sync_report([part]).collect()} == {"t", None}
+
+
+def test_a_key_that_changes_twice_does_not_multiply_rows(spark, rows):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    changes = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (3, "p", 2), (3, "q", 1)], "k int, v string, n int")
+    assert rows(M.patch(target, changes, "k", ["v"], order=["n"])) == [(1, "y"), (2, "b")]
+    assert rows(M.upsert(target, changes, "k", ["v"], order=["n"])) == [(1, "y"), (2, "b"), (3, "p")]
+
+
+def test_a_partitioned_table_is_not_swapped(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "k int, p string")
+    df.write.partitionBy("p").saveAsTable("swap_partitioned")
+    with pytest.raises(ValueError, match="partitioned"):
+        swap_table(df, "swap_partitioned", str(tmp_path))
+    assert spark.table("swap_partitioned").count() == 1

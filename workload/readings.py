@@ -86,14 +86,13 @@ def stream_ingest_readings(spark, sf):
     return read_readings(spark, table)
 
 
-def ingest_job(spark, sf):
+def _ingest_run(spark, sf):
     landed, table = land_responses(spark, sf), new_folder(spark, "readings")
     old = _target(spark, sf)
     absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in READINGS_SCHEMA if f.name not in old.columns]
     old = old.select("*", *absent).select(*READINGS_SCHEMA.names).hint("rebalance", "date")
     old.write.partitionBy("date").parquet(table)
-    run = ingest_readings(spark, landed, table, NOW, date(2023, 12, 30), date(2024, 1, 31))
-    return run.day_counts
+    return ingest_readings(spark, landed, table, NOW, date(2023, 12, 30), date(2024, 1, 31))
 
 
 QUERIES = {
@@ -110,7 +109,8 @@ QUERIES = {
     "day_sequence": day_sequence,
     "ingest_day_counts": ingest_day_counts,
     "ingest_totals": lambda spark, sf: G.ingest_totals(ingest_day_counts(spark, sf)),
-    "ingest_job": ingest_job,
+    "ingest_job": lambda spark, sf: _ingest_run(spark, sf).day_counts,
+    "ingest_job_totals": lambda spark, sf: _ingest_run(spark, sf).totals,
     "stream_ingest_readings": stream_ingest_readings,
     "bad_hour_count": lambda spark, sf: Q.bad_hour_count(standin(spark, sf, "bad_hours")),
     "bad_hour_sample": lambda spark, sf: Q.bad_hour_sample(standin(spark, sf, "bad_hours")),
@@ -185,6 +185,15 @@ ORACLES = {
             coalesce(inserted, 0) as inserted, coalesce(skipped, 0) as skipped
         from unnest(generate_series(timestamp '2023-12-30', timestamp '2024-01-31', interval 1 day)) as g(d)
         left join counts c on c.day = strftime(d, '%Y-%m-%d')""",
+    "ingest_job_totals": f"""with {_COUNTS}, asked as (
+            select strftime(d, '%Y-%m-%d') as day, c.* exclude (day)
+            from unnest(generate_series(timestamp '2023-12-30', timestamp '2024-01-31', interval 1 day)) as g(d)
+            left join counts c on c.day = strftime(d, '%Y-%m-%d'))
+        select count(*) as days, cast(coalesce(sum(fetched), 0) as bigint) as fetched,
+            cast(coalesce(sum(valid), 0) as bigint) as valid, cast(coalesce(sum(inserted), 0) as bigint) as inserted,
+            cast(coalesce(sum(skipped), 0) as bigint) as skipped,
+            cast(count(*) filter (fetched is null) as bigint) as errors
+        from asked""",
     "stream_ingest_readings": f"""with {_VALID} select * exclude (n, ord, dia), 1 as active from (
         select *, row_number() over (partition by date, hour, tank_number order by ord) as n from valid)
         where n = 1""",
