@@ -207,7 +207,10 @@ def _commit(spark: SparkSession, written: DataFrame, folder: str) -> DataFrame:
     manifest.write.parquet(f"{folder}/_manifest.new")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     system = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.rename(path(f"{folder}/_manifest.new"), path(f"{folder}/_manifest")):
+    # a rename onto a folder would move it inside
+    if system.exists(path(f"{folder}/_manifest")) or not system.rename(
+        path(f"{folder}/_manifest.new"), path(f"{folder}/_manifest")
+    ):
         raise RuntimeError(f"{folder} has a manifest already")
     drop_folder(spark, f"{folder}/_temporary")
     return spark.read.parquet(f"{folder}/_manifest")

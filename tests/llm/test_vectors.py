@@ -1,0 +1,88 @@
+"""Exact and approximate search against brute force."""
+
+import numpy as np
+import pytest
+
+from keystitch.llm import ann, topk, vectors
+
+BAD = [(1001, None), (1002, []), (1003, [1.0, None]), (1004, [float("nan")]), (1005, [float("inf")]), (None, [1.0, 2.0])]
+
+
+def table(spark, points, parts=3):
+    return spark.createDataFrame([(i, x, "e") for i, x in points], "vec_id long, embedding array<double>, v string").repartition(parts)
+
+
+def plain(points, k, one_in, score):
+    out = []
+    for q, a in points:
+        if q % one_in == 0:
+            found = sorted((-score(a, b), c) for c, b in points if c != q)[:k]
+            out += [(q, r, c, -s) for r, (s, c) in enumerate(found, 1)]
+    return sorted(out)
+
+
+def codes(a, b):
+    n = min(len(a), len(b))
+    return int(sum(np.floor(64 * a[i]) * np.floor(64 * b[i]) for i in range(n)))
+
+
+@pytest.mark.parametrize("scale", [1.0, 3000.0])
+def test_top_k(spark, monkeypatch, scale):
+    monkeypatch.setattr(vectors, "QUERY_ROWS", 7)
+    monkeypatch.setattr(vectors, "CANDIDATE_ROWS", 9)
+    rng = np.random.default_rng(1)
+    points = [(i, (scale * rng.normal(size=6)).round(2).tolist()) for i in range(120)]
+    points += [(i, points[3][1]) for i in range(120, 190)] + [(200, [0.0] * 6), (201, [0.5, 0.5])]
+    got = topk.search(table(spark, points + points[:5] + BAD), k=8, one_in=10)
+    assert sorted(tuple(r) for r in got.collect()) == plain(points, 8, 10, codes)
+    assert got.dtypes == [("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "bigint")]
+
+
+def test_few_candidates(spark):
+    points = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (20, [0.2, -0.1])]
+    assert sorted(tuple(r) for r in topk.search(table(spark, points)).collect()) == plain(points, 20, 20, codes)
+    assert len(ann.search(table(spark, points)).collect()) == 4
+    none = table(spark, points).limit(0)
+    assert topk.search(none).count() == 0 and ann.search(none).count() == 0
+    assert topk.search(table(spark, [(0, [1.0])])).count() == 0
+
+
+def test_repeated_id_counts_once(spark):
+    points = [(0, [1.0]), (1, [3.0]), (1, [2.0]), (1, [2.0])]
+    assert [tuple(r) for r in topk.search(table(spark, points)).collect()] == [(0, 1, 1, 64 * 128)]
+
+
+def test_ann_recall_and_scores(spark):
+    data = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    x = data.toPandas().sort_values("vec_id")
+    v, ids = np.array(x.embedding.tolist(), float), x.vec_id.to_numpy()
+    got = ann.search(data).toPandas()
+    queries = np.flatnonzero(ids % 20 == 0)
+    score = v[queries] @ v.T
+    score[np.arange(len(queries)), queries] = -9
+    want = {(ids[q], ids[j]) for q, s in zip(queries, score, strict=True) for j in np.argsort(-s)[:20]}
+    assert len(got) == 20 * len(queries)
+    assert len(want & set(zip(got.query_id, got.vec_id, strict=True))) >= 0.9 * len(want)
+    at = {i: n for n, i in enumerate(ids)}
+    exact = np.array([v[at[a]] @ v[at[b]] for a, b in zip(got.query_id, got.vec_id, strict=True)])
+    assert np.abs(exact - got.score).max() < 1e-12
+    ordered = got.sort_values(["query_id", "rank"])
+    assert (ordered.groupby("query_id").score.diff().fillna(0) <= 0).all()
+
+
+def test_ann_ties_go_to_smaller_ids(spark):
+    rng = np.random.default_rng(2)
+    points = [(i, rng.normal(size=8).tolist()) for i in range(60)]
+    points += [(i, points[0][1]) for i in range(100, 160)] + [(500, [0.0] * 8)]
+    got = ann.search(table(spark, points + BAD), k=20).where("query_id = 0").orderBy("rank").collect()
+    ties = [r.vec_id for r in got if abs(r.score - got[0].score) < 1e-15]
+    assert ties == list(range(100, 100 + len(ties))) and len(got) == 20 and all(r.vec_id != 500 for r in got)
+
+
+def test_pigeonhole_misses_no_code_within_the_radius():
+    rng = np.random.default_rng(4)
+    for bits, radius in ((64, 5), (64, 20), (20, 7), (8, 2)):
+        q, c = rng.random((9, bits)) > 0.5, rng.random((300, bits)) > 0.5
+        c[:40] = q[0] ^ (rng.random((40, bits)) < 0.15)
+        apart = (q[:, None, :] != c[None, :, :]).sum(2)
+        assert np.array_equal(ann._within(q, c, radius), apart <= radius)
