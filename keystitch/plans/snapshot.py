@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from datetime import date
 
@@ -11,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from keystitch.operators.reports import union_all
 from keystitch.sources.csvfiles import read_csv_gz, write_csv_gz
+from keystitch.sources.tables import drop_folder, folders_in, replace_folder
 
 
 def rows_since(table: DataFrame, column: str, floor: date | str) -> DataFrame:
@@ -51,9 +53,13 @@ def snapshot_manifest(tables: Mapping[str, DataFrame], structure_only: Iterable[
 
 
 def restore_table(spark: SparkSession, source: str, target: str, schema: StructType | None = None) -> DataFrame:
-    """Replace what is at `target` by a snapshot table, or by a CSV export if a schema is given."""
+    """Replace what is at `target` by a snapshot table, or by a CSV export if a schema is given.
+
+    The rows are written beside it first, so that a load that fails leaves the old table as it is."""
     rows = spark.read.parquet(source) if schema is None else read_csv_gz(spark, source, schema)
-    rows.write.mode("overwrite").parquet(target)
+    beside = f"{target}.{uuid.uuid4().hex}"
+    rows.write.parquet(beside)
+    replace_folder(spark, beside, target)
     return spark.read.parquet(target)
 
 
@@ -64,15 +70,21 @@ def restore_snapshot(
     target: str,
     exports: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Replace the tables below `target` by those of a snapshot.
+    """Replace the tables below `target` by those of a snapshot; tables the snapshot lacks are removed
+    once all others are in place.
 
     `exports` gives for some tables the folder of a filtered CSV export to load instead; the snapshot
     then only provides their schema.
     """
     exports = exports or {}
+    if any(f"{p}/".startswith(f"{target.rstrip('/')}/") for p in (folder, *exports.values())):
+        raise ValueError("the snapshot lies below the target and would be removed")
     restored = {}
     for name, held in read_snapshot(spark, folder, names).items():
         schema = held.schema if name in exports else None
         source = exports.get(name, f"{folder}/{name}")
         restored[name] = restore_table(spark, source, f"{target}/{name}", schema)
+    for name in folders_in(spark, target):
+        if name not in restored:
+            drop_folder(spark, f"{target}/{name}")
     return restored

@@ -40,9 +40,29 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that `new_folder` or `stage` made, through the file system Spark uses."""
-    jvm, target = spark.sparkContext._jvm, path
-    folder = jvm.org.apache.hadoop.fs.Path(target)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, system = _at(spark, path)
+    system.delete(folder, True)
+
+
+def _at(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the complete folder `new` in the place of `path`."""
+    source, system = _at(spark, new)
+    target, _ = _at(spark, path)
+    system.delete(target, True)
+    if not system.rename(source, target):
+        raise RuntimeError(f"{new} is complete but could not be moved to {path}")
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a folder; none if it does not exist."""
+    folder, system = _at(spark, path)
+    found = system.listStatus(folder) if system.exists(folder) else []
+    return [f.getPath().getName() for f in found if f.isDirectory()]
 
 
 def swap_table(df: DataFrame, table: str, base: str) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from keystitch.operators.readings import map_readings, new_readings, valid_readings
 from keystitch.plans.ingest import READINGS_SCHEMA, append_readings, read_readings
@@ -19,10 +18,9 @@ def append_batch(batch: DataFrame, table: str) -> None:
     """
     valid = valid_readings(map_readings(batch, keep=["dia", "seq", "pos"])).persist()
     try:
-        low, high = valid.agg(F.min("date")), valid.agg(F.max("date"))
-        target = read_readings(batch.sparkSession, table).filter(
-            F.col("date").between(low.scalar(), high.scalar())
-        )
+        # a late reading of an old day adds that day, not all days since
+        days = valid.select("date").distinct()
+        target = read_readings(batch.sparkSession, table).join(days, "date", "left_semi")
         append_readings(new_readings(target, valid, ["seq", "pos"]), table)
     finally:
         valid.unpersist()

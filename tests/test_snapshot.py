@@ -81,3 +81,18 @@ def test_csv_keeps_a_text_of_one_null_character(spark, rows, tmp_path):
     df = spark.createDataFrame([(1, "\x00"), (2, None), (3, ""), (4, "a\x00b")], "k int, t string")
     write_csv_gz(df, str(tmp_path / "csv"))
     assert rows(read_csv_gz(spark, str(tmp_path / "csv"), df.schema)) == rows(df)
+
+
+def test_restore_removes_what_the_snapshot_lacks_and_keeps_a_table_whose_load_fails(spark, tmp_path):
+    snapshot, target = str(tmp_path / "snapshot"), str(tmp_path / "target")
+    spark.range(3).write.parquet(f"{snapshot}/a")
+    for name in ("a", "stale"):
+        spark.range(9).write.parquet(f"{target}/{name}")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        S.restore_table(spark, f"{snapshot}/absent", f"{target}/a")
+    assert spark.read.parquet(f"{target}/a").count() == 9
+    restored = S.restore_snapshot(spark, snapshot, ["a"], target)
+    assert restored["a"].count() == 3
+    assert [p.name for p in (tmp_path / "target").iterdir()] == ["a"]
+    with pytest.raises(ValueError, match="below the target"):
+        S.restore_snapshot(spark, snapshot, ["a"], str(tmp_path))
