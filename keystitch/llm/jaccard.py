@@ -2,15 +2,14 @@
 
 Documents with the same set are one class and travel as one. Candidates come from a partition of the tokens: the set
 of a class is dealt into K parts by hash, where K is more than the number of tokens in which two similar sets of
-such sizes can differ, so similar sets have a part in common, token for token. Classes that share parts are put
-into groups, each class into the one of its parts that most classes share, and groups into blocks of bounded size.
+such sizes can differ, so similar sets have a part in common, token for token. Among the classes that share a part,
+sketches bound each overlap from above: a sketch counts how many tokens of a set fall into each of some bins. Classes that may reach the threshold are linked loosely, and the components of these links are
+the groups. Similar documents thus share a group, which is dealt into blocks of bounded size.
 
-First, blocks meet where a member of one shares a part with a member of the other, and only sketches travel: how many
-tokens of a set fall into each of some bins bounds every overlap from above. Classes that may reach the threshold
-form the final groups. A block of those is a column of the token-group matrix: its members and the union of their
-tokens. Of a pair of blocks of one group only members whose overlap with the union of the other block can reach the
-threshold are compared, and these exactly, all at once over the tokens that both blocks have. What leaves a pair of
-blocks is the number of links of each member and a star for each component, never the pairs.
+A block is a column of the token-group matrix: its members and the union of their tokens. Of a pair of blocks of one
+group only members whose overlap with the union of the other block can reach the threshold are compared, and these
+exactly, all at once over the tokens that both blocks have. What leaves a pair of blocks is the number of links of each
+member and a star for each component, never the pairs.
 
 Defined cases: A-Z count as a-z. A text with fewer words than n is one token, its whole sequence. Texts that are null
 or without words have no tokens, are linked with nothing, and are components of their own, as are rows without an
@@ -23,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +33,13 @@ from keystitch.sources.tables import stage
 
 WORDS, PERCENT = 3, 90
 #: Members of a block; a larger group is several blocks.
-BLOCK_MEMBERS = 512
+BLOCK_MEMBERS = 256
 #: Bins of a sketch, for sets below LARGE tokens and above.
 BINS, LARGE, LARGE_BINS = 64, 1024, 512
+#: Groups of parts a task works on one after the other, so that it holds few sketches at a time.
+NEAR_BUCKETS = 8
+#: Partitions of the pairs of blocks, as a multiple of those of other shuffles.
+PAIR_PARTITIONS = 4
 #: Tokens of two blocks that are counted at a time.
 COLUMNS = 8192
 
@@ -90,11 +94,14 @@ class Sets:
 
 
 def _sketches(sets: Sets) -> list[bytes]:
-    """For each set how many tokens fall into each bin."""
+    """For each set how many tokens fall into each bin; bytes of 255 where one bin holds as many."""
     bins = np.where(sets.size < LARGE, BINS, LARGE_BINS)
     begins = np.cumsum(bins) - bins
     at = begins[sets.doc] + (sets.token % bins[sets.doc].astype(np.uint64)).astype(np.int64)
-    counts = np.bincount(at, minlength=int(bins.sum())).astype("<u4")
+    counts = np.bincount(at, minlength=int(bins.sum()))
+    full = np.maximum.reduceat(counts, begins) >= 255 if len(begins) else np.zeros(0, bool)
+    counts[np.repeat(full, bins)] = 255
+    counts = counts.astype("u1")
     return [counts[s : s + k].tobytes() for s, k in zip(begins, bins, strict=True)]
 
 
@@ -141,73 +148,71 @@ def _sign(n: int, percent: int, buckets: int):
 
 
 def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Parts that several classes have, once for each class, with their number."""
+    """Parts that several classes have, once for each class."""
     value, owner = _joined(pdf["value"], "<u8"), _joined(pdf["class"], "<u8")
     order = np.lexsort((owner, value))
     value, owner = value[order], owner[order]
     if not len(value):
-        return pd.DataFrame({"class": [], "part": [], "n": []})
+        return pd.DataFrame({"class": [], "part": []})
     new = np.r_[True, (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])]
     value, owner = value[new], owner[new]
     first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
     size = np.diff(np.r_[first, len(value)])
-    n = np.repeat(size, size)
-    keep = n > 1
-    return pd.DataFrame({"class": owner[keep].view("i8"), "part": value[keep].view("i8"), "n": n[keep]})
+    keep = np.repeat(size, size) > 1
+    return pd.DataFrame({"class": owner[keep].view("i8"), "part": value[keep].view("i8")})
 
 
-def _sketch_block(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.drop_duplicates("class")
-    packed = [pdf[c].to_numpy("<i8").tobytes() for c in ("class", "size")]
-    return pd.DataFrame([[pdf["block"].iloc[0], *packed, b"".join(pdf["sketch"])]], columns=["block", "ids", "sizes", "sketches"])
+def _opened(sketches: bytes) -> np.ndarray:
+    """Counts of sketches; what stands for too many bounds nothing."""
+    counts = np.frombuffer(sketches, "u1").astype(np.int32)
+    counts[counts == 255] = 1 << 20
+    return counts
 
 
-def _opened(ids: bytes, sizes: bytes, sketches: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
-    """Ids and sizes of a sketch block, its sketches folded to BINS, and the full ones of large sets."""
-    ids, sizes, counts = np.frombuffer(ids, "<i8"), np.frombuffer(sizes, "<i8"), np.frombuffer(sketches, "<u4")
-    bins = np.where(sizes < LARGE, BINS, LARGE_BINS)
-    begins = np.cumsum(bins) - bins
-    large = np.flatnonzero(sizes >= LARGE)
-    full = {i: counts[begins[i] : begins[i] + LARGE_BINS] for i in large.tolist()}
-    folded = np.zeros((len(ids), BINS), np.int32)
-    small = np.flatnonzero(sizes < LARGE)
-    folded[small] = counts[begins[small][:, None] + np.arange(BINS)]
-    for i, x in full.items():
-        folded[i] = x.reshape(-1, BINS).sum(0)
-    return ids, sizes, folded, full
-
-
-def _may_link(percent: int):
-    """Stars of the classes of a pair of blocks whose sketches allow a link."""
+def _near(percent: int):
+    """Stars of classes that share a part and whose sketches allow a link, for the parts of a bucket."""
 
     def reach(bound, a, b):
         return 100 * bound >= percent * (a + b - bound)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                same = row.a == row.b
-                a = _opened(row.ids, row.sizes, row.sketches)
-                b = a if same else _opened(row.ids_b, row.sizes_b, row.sketches_b)
-                x, y = np.nonzero(reach(np.minimum(a[1][:, None], b[1][None, :]), a[1][:, None], b[1][None, :]))
-                if same:
-                    x, y = x[x < y], y[x < y]
-                keep = []
-                for at in range(0, len(x), 1 << 16):
-                    i, j = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
-                    bound = np.minimum(a[2][i], b[2][j]).sum(1)
-                    ok = reach(bound, a[1][i], b[1][j])
-                    for t in np.flatnonzero(ok & (a[1][i] >= LARGE) & (b[1][j] >= LARGE)).tolist():
-                        closer = int(np.minimum(a[3][int(i[t])], b[3][int(j[t])]).sum())
-                        ok[t] = reach(closer, int(a[1][i[t]]), int(b[1][j[t]]))
-                    keep.append(np.flatnonzero(ok) + at)
-                keep = np.concatenate(keep) if keep else np.zeros(0, np.int64)
-                if not len(keep):
-                    continue
-                ids = a[0] if same else np.r_[a[0], b[0]]
-                label = _stars(x[keep], y[keep] if same else y[keep] + len(a[0]), len(ids))
-                met = np.unique(np.r_[x[keep], y[keep] if same else y[keep] + len(a[0])])
-                yield pd.DataFrame({"u": ids[met], "v": ids[label[met]]})
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["part", "size", "class"])
+        part, size, owner = (pdf[c].to_numpy() for c in ("part", "size", "class"))
+        _, first, slot = np.unique(owner, return_index=True, return_inverse=True)
+        raw = pdf["sketch"].iloc[first].tolist()
+        del pdf
+        large = [i for i, x in enumerate(raw) if len(x) > BINS]
+        sketches = {i: _opened(raw[i]) for i in large}
+        folded = np.zeros((len(raw), BINS), np.int32)
+        rest = np.setdiff1d(np.arange(len(raw)), large)
+        folded[rest] = _opened(b"".join(raw[i] for i in rest)).reshape(-1, BINS)
+        for i, x in sketches.items():
+            folded[i] = x.reshape(-1, BINS).sum(0)
+        del raw
+        edges = []
+        at, apart = np.arange(len(part)), 1
+        # each class against those of its part that follow at one distance after the other, while sizes are close
+        while True:
+            at = at[at + apart < len(part)]
+            to = at + apart
+            close = (part[at] == part[to]) & reach(size[at], size[at], size[to])
+            at, to = at[close], to[close]
+            if not len(at):
+                break
+            for begin in range(0, len(at), 1 << 16):
+                i, j = at[begin : begin + (1 << 16)], to[begin : begin + (1 << 16)]
+                ok = reach(np.minimum(folded[slot[i]], folded[slot[j]]).sum(1, dtype=np.int64), size[i], size[j])
+                for t in np.flatnonzero(ok & (size[i] >= LARGE) & (size[j] >= LARGE)).tolist():
+                    closer = np.minimum(sketches[int(slot[i[t]])], sketches[int(slot[j[t]])]).sum(dtype=np.int64)
+                    ok[t] = reach(closer, size[i[t]], size[j[t]])
+                edges.append((slot[i[ok]], slot[j[ok]]))
+            apart += 1
+        if not edges:
+            return pd.DataFrame({"u": [], "v": []})
+        x, y = (np.concatenate(e) for e in zip(*edges, strict=True))
+        ids, label = owner[first], _stars(x, y, len(first))
+        met = np.unique(np.r_[x, y])
+        return pd.DataFrame({"u": ids[met], "v": ids[label[met]]})
 
     return run
 
@@ -297,12 +302,19 @@ def _stars(rows: np.ndarray, columns: np.ndarray, number: int) -> np.ndarray:
 def _compare(percent: int):
     """Links of each member of a pair of blocks, counted in documents, and the head of its component in the pair."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                a = _Block(row.ids, row.copies, row.sizes, row.at, row.union)
-                same = row.a == row.b
-                b = a if same else _Block(row.ids_b, row.copies_b, row.sizes_b, row.at_b, row.union_b)
+    names = ["ids", "copies", "sizes", "at", "union"]
+
+    def opened(columns: dict[str, pa.Array], i: int, side: str) -> _Block:
+        # views into the batch, which may hold many blocks; nothing is copied
+        return _Block(*(columns[n + side][i].as_buffer() for n in names))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            for i in range(batch.num_rows):
+                a = opened(columns, i, "")
+                same = columns["a"][i] == columns["b"][i]
+                b = a if same else opened(columns, i, "_b")
                 met = _overlaps(a, b, percent)
                 linked = (met > 0) & (100 * met >= percent * (a.sizes[:, None] + b.sizes[None, :] - met))
                 if same:
@@ -317,7 +329,8 @@ def _compare(percent: int):
                 label = _stars(place[x], place[y if same else y + len(a.ids)], len(ids))
                 head = ids[order][label][place]
                 keep = n > 0
-                yield pd.DataFrame({"doc_id": ids[keep], "head": head[keep], "n": n[keep]})
+                arrays = [pa.array(c[keep]) for c in (ids, head, n)]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "head", "n"])
 
     return run
 
@@ -366,7 +379,7 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block_members:
     narrow = narrow.drop("sketch")
     whole = docs.where("doc_id is not null")
     signed = whole.mapInPandas(_sign(n, percent, buckets), "bucket int, value binary, class binary")
-    shared = stage(signed.groupBy("bucket").applyInPandas(_shared, "class long, part long, n long"), "jaccard-parts")
+    shared = stage(signed.groupBy("bucket").applyInPandas(_shared, "class long, part long"), "jaccard-parts")
 
     def blocks_of(home: DataFrame) -> DataFrame:
         """class and block of `home` (class, grp): members of a group are dealt into blocks by hash."""
@@ -375,26 +388,22 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block_members:
         return home.join(count, "grp").select("class", "grp", F.xxhash64("grp", sub).alias("block"))
 
     def pairs_of(members: DataFrame) -> DataFrame:
-        """Each pair of the blocks that stand together in a row of `members` (blocks), once."""
+        """Each pair of different blocks that stand together in a row of `members` (blocks), once."""
         pairs = members.select(F.explode("blocks").alias("a"), "blocks").select("a", F.explode("blocks").alias("b"))
-        return stage(pairs.where(F.col("a") <= F.col("b")).distinct(), "jaccard-pairs")
+        return stage(pairs.where(F.col("a") < F.col("b")).distinct(), "jaccard-pairs")
 
     def met(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
-        """Pairs with the packed members of both; a block is not sent to itself."""
+        """Each block with itself, which moves nothing, and the pairs with the packed members of both. These are dealt
+        into many small partitions, as a task gets what it compares as a whole."""
         left = blocks.withColumnRenamed("block", "a")
         right = blocks.select(*(F.col(c).alias("b" if c == "block" else f"{c}_b") for c in blocks.columns))
-        two = pairs.where("a <> b").join(left, "a").join(right, "b")
-        return two.unionByName(pairs.where("a = b").join(left, "a"), allowMissingColumns=True)
+        parts = PAIR_PARTITIONS * buckets
+        two = pairs.join(left, "a").repartition(parts, "b").join(right.repartition(parts, "b"), "b")
+        return two.unionByName(left.withColumn("b", F.col("a")), allowMissingColumns=True)
 
-    home = shared.groupBy("class").agg(F.max(F.struct("n", "part")).alias("most")).select("class", F.col("most.part").alias("grp"))
-    home = stage(blocks_of(home), "jaccard-home")
-    together = shared.join(home, "class").groupBy("part").agg(F.array_sort(F.collect_set("block")).alias("blocks"))
-    sketched = home.join(classes, F.col("class") == F.col("one")).select("block", "class", "size", "sketch")
-    sketched = stage(
-        sketched.groupBy("block").applyInPandas(_sketch_block, "block long, ids binary, sizes binary, sketches binary"),
-        "jaccard-sketches",
-    )
-    near = stage(met(pairs_of(together), sketched).mapInPandas(_may_link(percent), "u long, v long"), "jaccard-near")
+    owners = classes.select(F.col("one").alias("class"), "size", "sketch")
+    sketched = shared.join(owners, "class").withColumn("bucket", F.pmod(F.xxhash64("part"), F.lit(NEAR_BUCKETS * buckets)))
+    near = stage(sketched.groupBy("bucket").applyInPandas(_near(percent), "u long, v long"), "jaccard-near")
     # a link joins classes of one component of those that may be linked
     home = components(near).select(F.col("node").alias("class"), F.col("component").alias("grp"))
     home = stage(blocks_of(home), "jaccard-home")
@@ -410,7 +419,7 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block_members:
         ),
         "jaccard-blocks",
     )
-    links = stage(met(pairs, blocks).mapInPandas(_compare(percent), "doc_id long, head long, n long"), "jaccard-links")
+    links = stage(met(pairs, blocks).mapInArrow(_compare(percent), "doc_id long, head long, n long"), "jaccard-links")
     found = components(links.select(F.col("doc_id").alias("u"), F.col("head").alias("v")))
     counted = links.groupBy("doc_id").agg(F.sum("n").alias("n"))
     described = classes.join(counted, F.col("rep") == F.col("doc_id"), "left").drop("doc_id")

@@ -35,7 +35,7 @@ HELD_OUT = 5
 #: N-grams of a shard of the finished table: 12 bytes each.
 SHARD_NGRAMS = 1 << 21
 #: N-grams a task adds up before it hands them on.
-HELD_NGRAMS = 1 << 22
+HELD_NGRAMS = 1 << 20
 _PAD = b"\x02" * (ORDER - 1)
 _EMPTY = np.uint64((1 << 64) - 1)
 

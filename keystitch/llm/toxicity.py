@@ -33,13 +33,13 @@ DICTIONARY_ROWS, CURVE_ROWS, TRAIN_BYTES = 1500, 6000, 20_000
 ORDINARY_BYTES, TOXIC_BYTES = 32_768, 12_288
 #: Characters of a window; a longer word is several windows.
 WINDOW = 48
-#: Bytes of the sequences that mark toxic passages, least number and share of toxic documents with one, and how many
-#: times more common it is there than in ordinary documents.
-GRAM, MARKED, SHARE, LIFT = 10, 4, 0.03, 12
+#: Bytes of the sequences that mark toxic passages, and for each length how many times more common it is in toxic
+#: documents than in ordinary ones; a long sequence says more. Least number and share of toxic documents with one.
+GRAMS, MARKED, SHARE = {10: 12, 16: 8}, 4, 0.03
 #: Saving at which a window counts as toxic.
 SAVED = 2
 #: Windows whose saving a worker remembers; past that it forgets all of them. Only speed depends on it.
-CACHED_WINDOWS = 300_000
+CACHED_WINDOWS = 150_000
 _FEATURES = "saved double, rate double, windows double"
 
 
@@ -59,8 +59,8 @@ def _wide(word: str) -> bytes:
 
 
 def _grams(words: set[str]) -> set[bytes]:
-    wide = map(_wide, words)
-    return {w[i : i + GRAM] for w in wide for i in range(0, max(1, len(w) - GRAM + 1), 2)}
+    wide = [_wide(w) for w in words]
+    return {w[i : i + n] for n in GRAMS for w in wide for i in range(0, len(w) - n + 1, 2)}
 
 
 def _content(passages: list[bytes], size: int) -> bytes:
@@ -88,8 +88,10 @@ class Dictionaries:
         # repeated texts count once
         normal, bad = ([windows(t) for t in dict.fromkeys(part)] for part in (ordinary, toxic))
         among = [Counter(g for words in group for g in _grams(set(words))) for group in (normal, bad)]
-        least, ratio = max(MARKED, SHARE * len(bad)), LIFT * len(bad) / max(1, len(normal))
-        marks = {g for g, n in among[1].items() if n >= least and n >= ratio * (among[0][g] + 0.5)}
+        least, ratio = max(MARKED, SHARE * len(bad)), len(bad) / max(1, len(normal))
+        marks = {
+            g for g, n in among[1].items() if n >= least and n >= GRAMS[len(g)] * ratio * (among[0][g] + 0.5)
+        }
         passages = [_wide(w) for words in bad for w in words if not marks.isdisjoint(_grams({w}))]
         order = np.random.default_rng(0).permutation(len(passages))
         return cls(

@@ -31,8 +31,8 @@ def test_toxicity_on_held_out_documents(spark):
     assert ((got.score >= 0.5) == (got.predicted == 1)).all()
     seen = got.merge(labels.toPandas(), on="doc_id").query("held_out")
     flagged = seen[seen.predicted == 1]
-    assert rank_score(seen.score.to_numpy(), seen.toxic.to_numpy()) > 0.7
-    assert (flagged.toxic == 1).mean() > 0.85 and len(flagged) > 0.4 * seen.toxic.sum()
+    assert rank_score(seen.score.to_numpy(), seen.toxic.to_numpy()) > 0.8
+    assert (flagged.toxic == 1).mean() > 0.65 and (flagged.toxic == 1).sum() > 0.5 * seen.toxic.sum()
 
 
 def test_held_out_labels_do_not_matter(spark, sf, rows):
