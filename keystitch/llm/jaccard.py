@@ -32,8 +32,8 @@ from keystitch.llm.substrings import _bytes, _joined, _packed
 from keystitch.sources.tables import stage
 
 WORDS, PERCENT = 3, 90
-#: Members of a block; a larger group is several blocks.
-BLOCK_MEMBERS = 256
+#: Members of a block and their tokens, on average; a larger group is several blocks.
+BLOCK_MEMBERS, BLOCK_TOKENS = 256, 1_000_000
 #: Bins of a sketch, for sets below LARGE tokens and above.
 BINS, LARGE, LARGE_BINS = 64, 1024, 512
 #: Groups of parts a task works on one after the other, so that it holds few sketches at a time.
@@ -245,7 +245,7 @@ class _Block:
     def __init__(self, ids: bytes, copies: bytes, sizes: bytes, at: bytes, union: bytes):
         self.ids, self.copies, self.sizes = (np.frombuffer(x, "<i8") for x in (ids, copies, sizes))
         self.at, self.union = np.frombuffer(at, "<i4"), np.frombuffer(union, "<u8")
-        self.member = np.repeat(np.arange(len(self.ids)), self.sizes)
+        self.member = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.sizes)
 
     def only(self, column: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Member and column of the tokens that `column` (a place or -1 for each token of the union) keeps."""
@@ -259,8 +259,8 @@ def _overlaps(a: _Block, b: _Block, percent: int) -> np.ndarray:
     both = np.intersect1d(a.union, b.union, assume_unique=True)
     columns, able = [], []
     for x in (a, b):
-        column = np.full(len(x.union), -1)
-        column[np.searchsorted(x.union, both)] = np.arange(len(both))
+        column = np.full(len(x.union), -1, np.int32)
+        column[np.searchsorted(x.union, both)] = np.arange(len(both), dtype=np.int32)
         columns.append(column)
         bound = np.bincount(x.member[column[x.at] >= 0], minlength=len(x.ids))
         able.append(100 * bound >= percent * x.sizes)
@@ -273,7 +273,7 @@ def _overlaps(a: _Block, b: _Block, percent: int) -> np.ndarray:
         common = np.bincount(ca, minlength=len(both)) > 1
     else:
         common = (np.bincount(ca, minlength=len(both)) > 0) & (np.bincount(cb, minlength=len(both)) > 0)
-    rank = np.cumsum(common) - 1
+    rank = np.cumsum(common, dtype=np.int32) - 1
     (ma, ca), (mb, cb) = ((m[common[c]], rank[c[common[c]]]) for m, c in ((ma, ca), (mb, cb)))
     for begin in range(0, int(common.sum()), COLUMNS):
         sides = []
@@ -383,7 +383,9 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block_members:
 
     def blocks_of(home: DataFrame) -> DataFrame:
         """class and block of `home` (class, grp): members of a group are dealt into blocks by hash."""
-        count = home.groupBy("grp").agg(F.ceil(F.count("*") / block_members).alias("blocks"))
+        number = F.greatest(F.count("*") / block_members, F.sum("size") / BLOCK_TOKENS)
+        sizes = classes.select(F.col("one").alias("class"), "size")
+        count = home.join(sizes, "class").groupBy("grp").agg(F.ceil(number).alias("blocks"))
         sub = F.pmod(F.xxhash64("class"), F.col("blocks"))
         return home.join(count, "grp").select("class", "grp", F.xxhash64("grp", sub).alias("block"))
 
