@@ -1,7 +1,7 @@
 """Toxicity by compression distance: two zstandard dictionaries, one trained on ordinary and one on toxic text.
 
 Toxic documents are mostly ordinary text, so the toxic dictionary is trained on their toxic passages: words with a
-byte sequence that many toxic and hardly any ordinary training documents have. The windows of a text are its words
+byte sequence that significantly more toxic than ordinary training documents have, however few they are. The windows of a text are its words
 in two bytes a character, which weighs what must be spelled out against what a dictionary has. Each window is
 compressed twice, with the ordinary dictionary alone and with the toxic one in front of it, so only what the toxic
 passages shorten makes the lengths differ. The bytes a document saves that way, by length and by window, are turned into a
@@ -34,8 +34,9 @@ ORDINARY_BYTES, TOXIC_BYTES = 32_768, 12_288
 #: Characters of a window; a longer word is several windows.
 WINDOW = 48
 #: Bytes of the sequences that mark toxic passages, and for each length how many times more common it is in toxic
-#: documents than in ordinary ones; a long sequence says more. Least number and share of toxic documents with one.
-GRAMS, MARKED, SHARE = {10: 12, 16: 8}, 4, 0.03
+#: documents than in ordinary ones; a long sequence says more. Least number of toxic documents with one, and least
+#: log-likelihood ratio against both labels having it equally often, which chance exceeds once in 10,000 sequences.
+GRAMS, MARKED, LIKELIHOOD = {10: 12, 16: 8}, 4, 15.14
 #: Saving at which a window counts as toxic.
 SAVED = 2
 #: Windows whose saving a worker remembers; past that it forgets all of them. Only speed depends on it.
@@ -63,6 +64,16 @@ def _grams(words: set[str]) -> set[bytes]:
     return {w[i : i + n] for n in GRAMS for w in wide for i in range(0, len(w) - n + 1, 2)}
 
 
+def _likelihood(bad: int, normal: int, n_bad: int, n_normal: int) -> float:
+    """Log-likelihood ratio of a sequence in `bad` of `n_bad` and in `normal` of `n_normal` documents."""
+    out, rate = 0.0, (bad + normal) / (n_bad + n_normal)
+    for have, n in ((bad, n_bad), (normal, n_normal)):
+        for seen, share in ((have, rate), (n - have, 1 - rate)):
+            if seen:
+                out += 2 * seen * np.log(seen / (n * share))
+    return float(out)
+
+
 def _content(passages: list[bytes], size: int) -> bytes:
     """What a dictionary of about `size` trained on the passages holds, without its header and tables. Passages that
     training left out go in front, common ones nearest."""
@@ -88,10 +99,12 @@ class Dictionaries:
         # repeated texts count once
         normal, bad = ([windows(t) for t in dict.fromkeys(part)] for part in (ordinary, toxic))
         among = [Counter(g for words in group for g in _grams(set(words))) for group in (normal, bad)]
-        least, ratio = max(MARKED, SHARE * len(bad)), len(bad) / max(1, len(normal))
+        ratio = len(bad) / max(1, len(normal))
         marks = {
-            g for g, n in among[1].items() if n >= least and n >= GRAMS[len(g)] * ratio * (among[0][g] + 0.5)
-        }
+            g for g, n in among[1].items()
+            if n >= MARKED and n >= GRAMS[len(g)] * ratio * (among[0][g] + 0.5)
+            and _likelihood(n, among[0][g], len(bad), len(normal)) >= LIKELIHOOD
+        }
         passages = [_wide(w) for words in bad for w in words if not marks.isdisjoint(_grams({w}))]
         order = np.random.default_rng(0).permutation(len(passages))
         return cls(
