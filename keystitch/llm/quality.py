@@ -6,9 +6,12 @@ that occurs anywhere comes from joins between them, order by order. The finished
 fixed number of n-grams, and a second scan adds up each document. Documents whose perplexity lies above a quantile of
 the trusted documents of their language are rejected; those that set the quantiles are not part of the model.
 
-Defined cases: texts that are null or empty have no perplexity and are not rejected. A language without trusted
-documents that were kept out of the model, and rows without one, take the quantile over all languages. Without any trusted document no
-probability is known, and nothing is rejected. Rows with one id are scored each by itself.
+A language with fewer than LEAST_HELD_OUT of those has no quantile to go by: it takes the spread of all its own
+documents, or its largest trusted perplexity if that is higher. No language is measured by another one.
+
+Defined cases: texts that are null or empty have no perplexity and are not rejected. Rows without a language are one
+language. Of a language with too few trusted documents and fewer than LEAST_OWN documents nothing is rejected.
+Without any trusted document that was kept out of the model nothing is rejected. Rows with one id are scored each by itself.
 """
 
 from __future__ import annotations
@@ -32,6 +35,12 @@ ORDER = 5
 QUANTILE = 0.995
 #: One in so many trusted documents is kept out of the model and used for the quantiles.
 HELD_OUT = 5
+#: Held-out trusted documents from which on their quantile counts; of fewer, 0.995 is no more than the largest.
+LEAST_HELD_OUT = 200
+#: Documents of a language from which on their spread counts, where trusted ones are too few. The limit lies SPREADS
+#: standard deviations over the median of the log perplexity. The deviation comes from the lower quartile, which junk
+#: hardly moves, and is at least LEAST_SPREAD.
+LEAST_OWN, SPREADS, LEAST_SPREAD = 50, 6.0, 0.05
 #: N-grams of a shard of the finished table: 12 bytes each.
 SHARD_NGRAMS = 1 << 21
 #: N-grams a task adds up before it hands them on.
@@ -211,9 +220,19 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     scored = stage(perplexities(docs, trusted.where(~apart)), "quality-scores")
     good = scored.join(trusted.where(apart), "doc_id", "left_semi").where(F.col("perplexity").isNotNull())
     at = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000))
-    overall = good.agg(at).first()[0]
-    by_language = good.groupBy("lang").agg(at.alias("own"))
-    limit = F.coalesce("own", F.lit(overall).cast("double"))
-    joined = scored.join(by_language, "lang", "left").withColumn("threshold", limit)
+    trusted_of = good.groupBy("lang").agg(at.alias("own"), F.max("perplexity").alias("most"), F.count("*").alias("held"))
+    log = F.log("perplexity")
+    quartiles = F.percentile_approx(log, F.array(F.lit(0.25), F.lit(0.5)), F.lit(10_000))
+    spread_of = scored.where("perplexity is not null").groupBy(F.col("lang").alias("l")).agg(
+        quartiles.alias("q"), F.count("*").alias("n")
+    )
+    # 0.6745 deviations lie between the quartile and the median
+    deviation = F.greatest((F.col("q")[1] - F.col("q")[0]) / 0.6745, F.lit(LEAST_SPREAD))
+    robust = F.when(F.col("n") >= LEAST_OWN, F.greatest(F.exp(F.col("q")[1] + SPREADS * deviation), "most"))
+    limit = F.when(F.col("held") >= LEAST_HELD_OUT, F.col("own")).otherwise(robust)
+    limits = spread_of.join(trusted_of, F.col("l").eqNullSafe(F.col("lang")), "left").select("l", limit.alias("threshold"))
+    if not good.limit(1).count():
+        limits = limits.withColumn("threshold", F.lit(None).cast("double"))
+    joined = scored.join(limits, F.col("lang").eqNullSafe(F.col("l")), "left")
     rejected = F.coalesce(F.col("perplexity") > F.col("threshold"), F.lit(False))
     return joined.select("doc_id", "lang", "perplexity", "threshold", rejected.alias("rejected"))

@@ -156,6 +156,26 @@ def test_quality_cases(spark):
     assert quality.classify(docs.limit(0), labels).count() == 0
 
 
+def test_languages_with_few_trusted_documents_keep_their_clean_ones(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows, trusted = [], []
+    for lang, n, level, held in (("en", 400, 3.0, 300), ("xx", 200, 9.0, 1), ("yy", 200, 9.0, 0), (None, 100, 9.0, 0), ("zz", 5, 9.0, 1)):
+        for i in range(n):
+            junk = lang in ("en", "xx", "yy") and i >= n - 10
+            rows.append((len(rows), lang, float(level * np.exp(3.0 * junk + 0.1 * rng.normal()))))
+            trusted += [len(rows) - 1] * (i < held)
+    scores = spark.createDataFrame(rows, "doc_id long, lang string, perplexity double")
+    monkeypatch.setattr(quality, "perplexities", lambda docs, trusted: scores)
+    monkeypatch.setattr(quality, "HELD_OUT", 1)
+    labels = spark.createDataFrame([(i, 1) for i in trusted], "doc_id long, quality int")
+    got = {r.doc_id: r.rejected for r in quality.classify(scores, labels).collect()}
+    junk = [p > 25 for _, _, p in rows]
+    assert len(got) == len(rows) and all(got[i] for i, j in enumerate(junk) if j)
+    for lang in ("xx", "yy", None, "zz"):
+        assert not any(got[i] for i, of, _ in rows if of == lang and not junk[i])
+    assert sum(got[i] for i, of, _ in rows if of == "en" and not junk[i]) <= 10
+
+
 def test_table_of_open_slots():
     rng = np.random.default_rng(0)
     keys = np.unique(rng.integers(0, 1 << 40, 5000, dtype=np.uint64))
