@@ -13,7 +13,8 @@ member and a star for each component, never the pairs.
 
 Defined cases: A-Z count as a-z. A text with fewer words than n is one token, its whole sequence. Texts that are null
 or without words have no tokens, are linked with nothing, and are components of their own, as are rows without an
-id. Of several rows with one id each takes part; links of any of them hold for the id, counts are the largest.
+id. Of several rows with one id each takes part; links of any of them hold for the id, which joins their components,
+and the number of links is the largest of theirs.
 """
 
 from __future__ import annotations
@@ -233,19 +234,20 @@ def _tokens(n: int):
 
 
 def _block(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("doc_id").drop_duplicates("doc_id")
+    # the row of a class may be repeated
+    pdf = pdf.sort_values("class").drop_duplicates("class")
     tokens = _joined(pdf["tokens"], "<u8")
     union = np.unique(tokens)
     at = np.searchsorted(union, tokens).astype("<i4")
-    row = [pdf["block"].iloc[0], *(pdf[c].to_numpy("<i8").tobytes() for c in ("doc_id", "copies", "size"))]
-    return pd.DataFrame([[*row, at.tobytes(), union.tobytes()]], columns=["block", "ids", "copies", "sizes", "at", "union"])
+    row = [pdf["block"].iloc[0], *(pdf[c].to_numpy("<i8").tobytes() for c in ("class", "copies", "size"))]
+    return pd.DataFrame([[*row, at.tobytes(), union.tobytes()]], columns=["block", "keys", "copies", "sizes", "at", "union"])
 
 
 class _Block:
-    def __init__(self, ids: bytes, copies: bytes, sizes: bytes, at: bytes, union: bytes):
-        self.ids, self.copies, self.sizes = (np.frombuffer(x, "<i8") for x in (ids, copies, sizes))
+    def __init__(self, keys: bytes, copies: bytes, sizes: bytes, at: bytes, union: bytes):
+        self.keys, self.copies, self.sizes = (np.frombuffer(x, "<i8") for x in (keys, copies, sizes))
         self.at, self.union = np.frombuffer(at, "<i4"), np.frombuffer(union, "<u8")
-        self.member = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.sizes)
+        self.member = np.repeat(np.arange(len(self.keys), dtype=np.int32), self.sizes)
 
     def only(self, column: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Member and column of the tokens that `column` (a place or -1 for each token of the union) keeps."""
@@ -262,9 +264,9 @@ def _overlaps(a: _Block, b: _Block, percent: int) -> np.ndarray:
         column = np.full(len(x.union), -1, np.int32)
         column[np.searchsorted(x.union, both)] = np.arange(len(both), dtype=np.int32)
         columns.append(column)
-        bound = np.bincount(x.member[column[x.at] >= 0], minlength=len(x.ids))
+        bound = np.bincount(x.member[column[x.at] >= 0], minlength=len(x.keys))
         able.append(100 * bound >= percent * x.sizes)
-    out = np.zeros((len(a.ids), len(b.ids)), np.int64)
+    out = np.zeros((len(a.keys), len(b.keys)), np.int64)
     if not (able[0].any() and able[1].any()):
         return out
     (ma, ca), (mb, cb) = (x.only(c, k) for x, c, k in zip((a, b), columns, able, strict=True))
@@ -277,7 +279,7 @@ def _overlaps(a: _Block, b: _Block, percent: int) -> np.ndarray:
     (ma, ca), (mb, cb) = ((m[common[c]], rank[c[common[c]]]) for m, c in ((ma, ca), (mb, cb)))
     for begin in range(0, int(common.sum()), COLUMNS):
         sides = []
-        for m, c, number in ((ma, ca, len(a.ids)), (mb, cb, len(b.ids))):
+        for m, c, number in ((ma, ca, len(a.keys)), (mb, cb, len(b.keys))):
             inside = (c >= begin) & (c < begin + COLUMNS)
             side = np.zeros((number, COLUMNS), np.float32)
             side[m[inside], c[inside] - begin] = 1
@@ -302,7 +304,7 @@ def _stars(rows: np.ndarray, columns: np.ndarray, number: int) -> np.ndarray:
 def _compare(percent: int):
     """Links of each member of a pair of blocks, counted in documents, and the head of its component in the pair."""
 
-    names = ["ids", "copies", "sizes", "at", "union"]
+    names = ["keys", "copies", "sizes", "at", "union"]
 
     def opened(columns: dict[str, pa.Array], i: int, side: str) -> _Block:
         # views into the batch, which may hold many blocks; nothing is copied
@@ -322,15 +324,15 @@ def _compare(percent: int):
                 x, y = np.nonzero(linked)
                 if not len(x):
                     continue
-                ids = a.ids if same else np.r_[a.ids, b.ids]
+                keys = a.keys if same else np.r_[a.keys, b.keys]
                 n = linked @ b.copies if same else np.r_[linked @ b.copies, linked.T @ a.copies]
-                order = np.argsort(ids, kind="stable")
+                order = np.argsort(keys, kind="stable")
                 place = np.argsort(order)
-                label = _stars(place[x], place[y if same else y + len(a.ids)], len(ids))
-                head = ids[order][label][place]
+                label = _stars(place[x], place[y if same else y + len(a.keys)], len(keys))
+                head = keys[order][label][place]
                 keep = n > 0
-                arrays = [pa.array(c[keep]) for c in (ids, head, n)]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "head", "n"])
+                arrays = [pa.array(c[keep]) for c in (keys, head, n)]
+                yield pa.RecordBatch.from_arrays(arrays, ["class", "head", "n"])
 
     return run
 
@@ -417,18 +419,28 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block_members:
     )
     blocks = stage(
         tokens.groupBy("block").applyInPandas(
-            _block, "block long, ids binary, copies binary, sizes binary, at binary, union binary"
+            _block, "block long, keys binary, copies binary, sizes binary, at binary, union binary"
         ),
         "jaccard-blocks",
     )
-    links = stage(met(pairs, blocks).mapInArrow(_compare(percent), "doc_id long, head long, n long"), "jaccard-links")
-    found = components(links.select(F.col("doc_id").alias("u"), F.col("head").alias("v")))
-    counted = links.groupBy("doc_id").agg(F.sum("n").alias("n"))
-    described = classes.join(counted, F.col("rep") == F.col("doc_id"), "left").drop("doc_id")
-    described = described.join(found, F.col("rep") == F.col("node"), "left").select(
+    links = stage(met(pairs, blocks).mapInArrow(_compare(percent), "class long, head long, n long"), "jaccard-links")
+    # ids that have several sets join what these are linked with
+    several = taking.groupBy("doc_id").agg(F.min("one").alias("v"), F.max("one").alias("last")).where("v <> last")
+    several = small(stage(several.select("doc_id", "v"), "jaccard-several"))
+    same_id = taking.join(several, "doc_id").select(F.col("one").alias("u"), "v")
+    found = components(links.select(F.col("class").alias("u"), F.col("head").alias("v")).unionByName(same_id))
+    heads = found.join(classes, F.col("node") == F.col("one"))
+    heads = heads.groupBy("component").agg(F.min("rep").alias("least"))
+    found = found.join(heads, "component").select("node", F.col("least").alias("component"))
+    counted = links.groupBy("class").agg(F.sum("n").alias("n"))
+    described = classes.join(counted, F.col("one") == F.col("class"), "left").drop("class")
+    described = described.join(found, F.col("one") == F.col("node"), "left").select(
         "one", "two", "rep", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("links"), "component"
     )
-    own = narrow.join(described, ["one", "two"], "left")
+    largest = taking.join(several, "doc_id").join(described, ["one", "two"]).groupBy("doc_id").agg(F.max("links").alias("most"))
+    largest = small(stage(largest, "jaccard-largest"))
+    own = narrow.join(described, ["one", "two"], "left").join(largest, "doc_id", "left")
+    own = own.withColumn("links", F.coalesce("most", "links"))
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     return own.select(
         "doc_id",

@@ -84,6 +84,16 @@ def test_defined_cases(spark, rows):
     assert jaccard.join(df.limit(0)).count() == 0
 
 
+def test_different_texts_of_one_id_all_take_part(spark, rows):
+    one, other = ([f"{x}{i}" for i in range(60)] for x in "ab")
+    near = [*other[:30], "x", *other[31:]]
+    data = [(5, one), (5, other), (9, near), (4, [*one, "y"]), (2, ["p", "q", "r"]), (7, ["p", "q", "r"]), (7, [f"c{i}" for i in range(9)])]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in data], "doc_id long, text string")
+    got = rows(jaccard.join(df, 3, 80).select("doc_id", "n_shingles", "component_id", "n_links"))
+    want = [(2, 1, 2, 1), (4, 59, 4, 1), (5, 58, 4, 1), (5, 58, 4, 1), (7, 1, 2, 1), (7, 7, 2, 1), (9, 58, 4, 1)]
+    assert got == sorted(want, key=repr)
+
+
 def test_bands_keep_similar_sizes_together():
     for percent in (50, 80, 90, 95, 100):
         low, parts = jaccard.bands(500, percent)
