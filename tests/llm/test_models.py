@@ -61,19 +61,6 @@ def test_what_only_the_toxic_passages_shorten_counts():
     assert meter.features("")[2] == 0
 
 
-def test_rare_toxic_words_of_a_minority_are_marked():
-    rng = np.random.default_rng(3)
-    common = [f"word{i:03d}x" for i in range(400)]
-    text = lambda *extra: " ".join([*rng.choice(common, 30), *extra])
-    rare = ["blorgwortel", "zanktrumper", "grimpfuscht", "quaddelnock"]
-    calm = [text() for _ in range(1500)]
-    rude = [text("vilexampler", "nastispoken") for _ in range(1425)]
-    rude += [text(*(w for w in rare if rng.random() < 0.4)) for _ in range(75)]
-    meter = toxicity.Meter(toxicity.Dictionaries.train(calm, rude))
-    assert all(meter.features(f"word001x {w} word002x")[0] > 0 for w in [*rare, "vilexampler"])
-    assert meter.features(" ".join(common))[0] == 0
-
-
 def plain_model(texts, order):
     """Probability of a byte after a context by interpolated modified Kneser-Ney, from the definition."""
     pad = b"\x02" * (order - 1)
