@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keystitch.llm import ann, bpe, jaccard, packing, quality, substrings, suffixes, topk, toxicity, warc
+from keystitch.llm import ann, bpe, interactions, jaccard, negatives, packing, quality, secretscan, substrings, suffixes, topk, toxicity, warc
 
 #: The files of public tokenizers are a setting of the site; nothing is copied from there.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -30,7 +30,18 @@ QUERIES = {
     ),
     "op6_ann": lambda spark, sf_dir: ann.search(_table(spark, sf_dir, "embeddings")),
     "op1_bpe": lambda spark, sf_dir: bpe.digests(_table(spark, sf_dir, "documents"), WORD_BPE),
+    "op11_interactions": lambda spark, sf_dir: interactions.audit(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    ),
+    "op12_negatives": lambda spark, sf_dir: negatives.mine(_table(spark, sf_dir, "embeddings")),
+    "op13_secrets": lambda spark, sf_dir: secretscan.scan(_table(spark, sf_dir, "documents")),
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {"op4_topk": topk.SEARCH_SQL, "op5_substrings": substrings.DIGESTS_SQL, "op9_jaccard": jaccard.LINKED_SQL}
+ORACLES: dict[str, str] = {
+    "op4_topk": topk.SEARCH_SQL,
+    "op5_substrings": substrings.DIGESTS_SQL,
+    "op9_jaccard": jaccard.LINKED_SQL,
+    "op11_interactions": interactions.AUDIT_SQL,
+    "op12_negatives": negatives.MINE_SQL,
+}
