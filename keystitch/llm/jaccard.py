@@ -6,8 +6,12 @@ such sizes can differ, so similar sets have a part in common, token for token. A
 sketches bound each overlap from above: a sketch counts how many tokens of a set fall into each of some bins. Classes that may reach the threshold are linked loosely, and the components of these links are
 the groups. Similar documents thus share a group, which is dealt into blocks of bounded size.
 
+A part without tokens says nothing and would bring unrelated sets together. There are some parts more than sets can
+differ in, so a set with fewer empty parts than that still shares another one with each similar set, and does not show
+its empty ones.
+
 A block is a column of the token-group matrix: its members and the union of their tokens. Of a pair of blocks of one
-group only members whose overlap with the union of the other block can reach the threshold are compared, and these
+group, which meet alone, only members whose overlap with the union of the other block can reach the threshold are compared, and these
 exactly, all at once over the tokens that both blocks have. What leaves a pair of blocks is the number of links of each
 member and a star for each component, never the pairs.
 
@@ -23,7 +27,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,27 +37,27 @@ from keystitch.sources.tables import stage
 
 WORDS, PERCENT = 3, 90
 #: Members of a block and their tokens, on average; a larger group is several blocks.
-BLOCK_MEMBERS, BLOCK_TOKENS = 256, 1_000_000
+BLOCK_MEMBERS, BLOCK_TOKENS = 256, 500_000
 #: Bins of a sketch, for sets below LARGE tokens and above.
 BINS, LARGE, LARGE_BINS = 64, 1024, 512
 #: Groups of parts a task works on one after the other, so that it holds few sketches at a time.
 NEAR_BUCKETS = 8
-#: Partitions of the pairs of blocks, as a multiple of those of other shuffles.
-PAIR_PARTITIONS = 4
+#: Bytes of text that become tokens at a time.
+SLICE_BYTES = 500_000
 #: Tokens of two blocks that are counted at a time.
 COLUMNS = 8192
 
 
-def bands(largest: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Lower ends of bands of set sizes, such that similar sets lie in one band or in neighbouring ones, and the
-    number of parts for pairs of a band with itself or the next one."""
-    low, parts = [1], []
+def bands(largest: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower ends of bands of set sizes, such that similar sets lie in one band or in neighbouring ones, and for pairs
+    of a band with itself or the next one the number of tokens they can differ in and the number of parts."""
+    low, differ = [1], []
     while True:
         high = low[-1] * 100 // percent
         together = high + high * 100 // percent
-        parts.append((100 - percent) * together // (100 + percent) + 1)
+        differ.append((100 - percent) * together // (100 + percent))
         if high >= largest:
-            return np.array(low), np.array(parts)
+            return np.array(low), np.array(differ), np.array([d + 2 + d // 8 for d in differ])
         low.append(high + 1)
 
 
@@ -83,15 +86,19 @@ class Sets:
         np.add.at(two, self.doc, mix(self.token ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
         return mix(one + self.size.astype(np.uint64)), mix(two)
 
-    def parts(self, doc_slot: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Document and hash of each part, where the set of a document is dealt into its `number` of parts."""
+    def parts(self, doc_slot: np.ndarray, number: np.ndarray, spare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Document and hash of each part, where the set of a document is dealt into its `number` of parts; without the
+        empty ones where these are fewer than `spare`."""
         begins = np.cumsum(number) - number
         key = begins[self.doc] + ((self.token >> np.uint64(17)) % number[self.doc].astype(np.uint64)).astype(np.int64)
         value = np.zeros(number.sum(), np.uint64)
         np.add.at(value, key, mix(self.token))
         doc = np.repeat(np.arange(len(number)), number)
         within = (np.arange(len(doc)) - begins[doc]).astype(np.uint64)
-        return doc, mix(value ^ mix((doc_slot[doc].astype(np.uint64) << np.uint64(32)) + within + np.uint64(1)))
+        value = mix(value ^ mix((doc_slot[doc].astype(np.uint64) << np.uint64(32)) + within + np.uint64(1)))
+        empty = np.bincount(key, minlength=len(doc)) == 0
+        show = ~empty | (np.bincount(doc[empty], minlength=len(number)) >= spare)[doc]
+        return doc[show], value[show]
 
 
 def _sketches(sets: Sets) -> list[bytes]:
@@ -106,12 +113,17 @@ def _sketches(sets: Sets) -> list[bytes]:
     return [counts[s : s + k].tobytes() for s, k in zip(begins, bins, strict=True)]
 
 
+def _parts_of(pdf: pd.DataFrame) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges of rows and their texts."""
+    for a, b in slices(pdf["text"].fillna("").tolist(), SLICE_BYTES):
+        yield a, b, _bytes(pdf["text"].iloc[a:b])
+
+
 def _describe(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts = _bytes(pdf["text"])
-            for a, b in slices(texts):
-                sets = Sets(texts[a:b], n)
+            for a, b, texts in _parts_of(pdf):
+                sets = Sets(texts, n)
                 one, two = (x.view("i8") for x in sets.classes())
                 yield pd.DataFrame(
                     {"doc_id": pdf["doc_id"].array[a:b], "n_shingles": sets.size, "one": one, "two": two, "sketch": _sketches(sets)}
@@ -125,13 +137,12 @@ def _sign(n: int, percent: int, buckets: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts = _bytes(pdf["text"])
-            for a, b in slices(texts):
-                sets = Sets(texts[a:b], n)
+            for a, b, texts in _parts_of(pdf):
+                sets = Sets(texts, n)
                 one = sets.classes()[0]
                 first = np.zeros(b - a, bool)
                 first[np.unique(one, return_index=True)[1]] = True
-                low, parts = bands(int(sets.size.max(initial=1)), percent)
+                low, differ, parts = bands(int(sets.size.max(initial=1)), percent)
                 band = np.searchsorted(low, sets.size, side="right") - 1
                 rows = []
                 for lower in (0, 1):
@@ -140,7 +151,7 @@ def _sign(n: int, percent: int, buckets: int):
                     keep = number[sets.doc] > 0
                     some = Sets.__new__(Sets)
                     some.doc, some.token, some.size = sets.doc[keep], sets.token[keep], sets.size
-                    doc, value = some.parts(slot, number)
+                    doc, value = some.parts(slot, number, number - differ[slot])
                     bucket = (value % np.uint64(buckets)).astype(np.int64)
                     rows += _packed(bucket, [value, one[doc]])
                 yield pd.DataFrame(rows, columns=["bucket", "value", "class"])
@@ -221,9 +232,8 @@ def _near(percent: int):
 def _tokens(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts = _bytes(pdf["text"])
-            for a, b in slices(texts):
-                sets = Sets(texts[a:b], n)
+            for a, b, texts in _parts_of(pdf):
+                sets = Sets(texts, n)
                 ends = np.cumsum(sets.size)
                 tokens = [sets.token[e - s : e].tobytes() for e, s in zip(ends, sets.size, strict=True)]
                 rows = pdf.iloc[a:b].drop(columns="text").assign(size=sets.size, tokens=tokens)
@@ -302,37 +312,25 @@ def _stars(rows: np.ndarray, columns: np.ndarray, number: int) -> np.ndarray:
 
 
 def _compare(percent: int):
-    """Links of each member of a pair of blocks, counted in documents, and the head of its component in the pair."""
-
-    names = ["keys", "copies", "sizes", "at", "union"]
-
-    def opened(columns: dict[str, pa.Array], i: int, side: str) -> _Block:
-        # views into the batch, which may hold many blocks; nothing is copied
-        return _Block(*(columns[n + side][i].as_buffer() for n in names))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
-            for i in range(batch.num_rows):
-                a = opened(columns, i, "")
-                same = columns["a"][i] == columns["b"][i]
-                b = a if same else opened(columns, i, "_b")
-                met = _overlaps(a, b, percent)
-                linked = (met > 0) & (100 * met >= percent * (a.sizes[:, None] + b.sizes[None, :] - met))
-                if same:
-                    np.fill_diagonal(linked, False)
-                x, y = np.nonzero(linked)
-                if not len(x):
-                    continue
-                keys = a.keys if same else np.r_[a.keys, b.keys]
-                n = linked @ b.copies if same else np.r_[linked @ b.copies, linked.T @ a.copies]
-                order = np.argsort(keys, kind="stable")
-                place = np.argsort(order)
-                label = _stars(place[x], place[y if same else y + len(a.keys)], len(keys))
-                head = keys[order][label][place]
-                keep = n > 0
-                arrays = [pa.array(c[keep]) for c in (keys, head, n)]
-                yield pa.RecordBatch.from_arrays(arrays, ["class", "head", "n"])
+    """Links of each member of a pair of blocks, or of one block with itself, counted in documents, and the head of its
+    component in the pair."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        sides = [_Block(*row) for row in pdf[["keys", "copies", "sizes", "at", "union"]].itertuples(index=False)]
+        a, b, same = sides[0], sides[-1], len(sides) == 1
+        met = _overlaps(a, b, percent)
+        linked = (met > 0) & (100 * met >= percent * (a.sizes[:, None] + b.sizes[None, :] - met))
+        if same:
+            np.fill_diagonal(linked, False)
+        x, y = np.nonzero(linked)
+        keys = a.keys if same else np.r_[a.keys, b.keys]
+        n = linked @ b.copies if same else np.r_[linked @ b.copies, linked.T @ a.copies]
+        order = np.argsort(keys, kind="stable")
+        place = np.argsort(order)
+        label = _stars(place[x], place[y if same else y + len(a.keys)], len(keys))
+        head = keys[order][label][place]
+        keep = n > 0
+        return pd.DataFrame({"class": keys[keep], "head": head[keep], "n": n[keep]})
 
     return run
 
@@ -397,13 +395,11 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block_members:
         return stage(pairs.where(F.col("a") < F.col("b")).distinct(), "jaccard-pairs")
 
     def met(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
-        """Each block with itself, which moves nothing, and the pairs with the packed members of both. These are dealt
-        into many small partitions, as a task gets what it compares as a whole."""
-        left = blocks.withColumnRenamed("block", "a")
-        right = blocks.select(*(F.col(c).alias("b" if c == "block" else f"{c}_b") for c in blocks.columns))
-        parts = PAIR_PARTITIONS * buckets
-        two = pairs.join(left, "a").repartition(parts, "b").join(right.repartition(parts, "b"), "b")
-        return two.unionByName(left.withColumn("b", F.col("a")), allowMissingColumns=True)
+        """Each block with itself, and the blocks of each pair; a row each, grouped by (a, b)."""
+        sides = F.explode(F.array("a", "b")).alias("block")
+        return blocks.select(F.col("block").alias("a"), F.col("block").alias("b"), "*").unionByName(
+            pairs.select("a", "b", sides).join(blocks, "block")
+        )
 
     owners = classes.select(F.col("one").alias("class"), "size", "sketch")
     sketched = shared.join(owners, "class").withColumn("bucket", F.pmod(F.xxhash64("part"), F.lit(NEAR_BUCKETS * buckets)))
@@ -423,7 +419,8 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block_members:
         ),
         "jaccard-blocks",
     )
-    links = stage(met(pairs, blocks).mapInArrow(_compare(percent), "class long, head long, n long"), "jaccard-links")
+    compared = met(pairs, blocks).groupBy("a", "b").applyInPandas(_compare(percent), "class long, head long, n long")
+    links = stage(compared, "jaccard-links")
     # ids that have several sets join what these are linked with
     several = taking.groupBy("doc_id").agg(F.min("one").alias("v"), F.max("one").alias("last")).where("v <> last")
     several = small(stage(several.select("doc_id", "v"), "jaccard-several"))

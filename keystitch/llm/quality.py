@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keystitch.llm.hashing import slices
-from keystitch.llm.rows import flagged
+from keystitch.llm.rows import flagged, small
 from keystitch.llm.substrings import _bytes
 from keystitch.sources.tables import stage
 
@@ -189,6 +189,8 @@ def _add(shard, name: str):
                 value, doc = ngrams(texts[a:b])
                 sums.append(np.bincount(doc, weights=_TABLES[name].get(value), minlength=b - a))
             yield pdf.assign(ll=pdf["ll"] + np.concatenate(sums)) if sums else pdf
+        # a worker outlives its tasks; the next one of this stage makes the table again
+        _TABLES.clear()
 
     return run
 
@@ -230,9 +232,10 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     deviation = F.greatest((F.col("q")[1] - F.col("q")[0]) / 0.6745, F.lit(LEAST_SPREAD))
     robust = F.when(F.col("n") >= LEAST_OWN, F.greatest(F.exp(F.col("q")[1] + SPREADS * deviation), "most"))
     limit = F.when(F.col("held") >= LEAST_HELD_OUT, F.col("own")).otherwise(robust)
+    # one row a language; names of languages that are as many as documents are not broadcast
     limits = spread_of.join(trusted_of, F.col("l").eqNullSafe(F.col("lang")), "left").select("l", limit.alias("threshold"))
     if not good.limit(1).count():
         limits = limits.withColumn("threshold", F.lit(None).cast("double"))
-    joined = scored.join(limits, F.col("lang").eqNullSafe(F.col("l")), "left")
+    joined = scored.join(small(stage(limits, "quality-limits")), F.col("lang").eqNullSafe(F.col("l")), "left")
     rejected = F.coalesce(F.col("perplexity") > F.col("threshold"), F.lit(False))
     return joined.select("doc_id", "lang", "perplexity", "threshold", rejected.alias("rejected"))
