@@ -16,7 +16,7 @@ def with_synced_at(rows: DataFrame, synced_at: datetime | str) -> DataFrame:
     return rows.withColumn("synced_at", F.lit(synced_at).cast("timestamp"))
 
 
-def _last_changes(changes: DataFrame, key: str, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
+def last_changes(changes: DataFrame, key: str, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One change per key, the last one by `order`, so that target rows never multiply."""
     names = dict.fromkeys(c for c in (*columns, *order) if c != key)
     return last_per_key(changes.select(key, *names), [key], order).select(key, *columns)
@@ -56,7 +56,7 @@ def upsert(
     """Insert or overwrite rows by key. Of several rows of a key the last one by `order` wins; target
     columns that are not in `columns` stay as they are, and are NULL in new rows."""
     columns = [c for c in columns if c != key]
-    rows = _last_changes(rows, key, columns, order)
+    rows = last_changes(rows, key, columns, order)
     if synced_at is not None:
         rows, columns = with_synced_at(rows, synced_at), [*columns, "synced_at"]
         if "synced_at" not in target.columns:
@@ -83,7 +83,7 @@ def patch(
 ) -> DataFrame:
     """Overwrite some columns of known keys; nothing is inserted and no load time is set. Of several
     changes of a key the last one by `order` counts."""
-    return overwrite_rows(target, _last_changes(changes, key, columns, order), key, columns)
+    return overwrite_rows(target, last_changes(changes, key, columns, order), key, columns)
 
 
 def delete_where(target: DataFrame, condition: Column) -> DataFrame:

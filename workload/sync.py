@@ -22,7 +22,9 @@ from keystitch.operators.merge import patch, upsert, upsert_outcome
 from keystitch.operators.reports import sync_report as total_report
 from keystitch.plans.extras import patch_extras
 from keystitch.plans.sync import sync_table
+from keystitch.sources.buckets import missing_keys_in, patch_in, replace_buckets, upsert_in, write_buckets
 from keystitch.sources.specs import DOCUMENTS, TableSpec, map_columns as rename
+from keystitch.sources.tables import new_folder
 from keystitch.sources.tables import scan_keys as key_scan
 from workload.standins import driver_table, standin
 
@@ -109,6 +111,35 @@ def upsert_apply(spark, sf):
     return _without_zone(upsert(target, docs, "document_id", DOCS.value_columns, SYNCED_AT))
 
 
+def _bucketed(spark, sf, name, key="document_id", buckets=8):
+    """A stand-in as a bucketed catalog table of its own."""
+    path = new_folder(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    rows = standin(spark, sf, name)
+    if name == "tgt_docs":
+        rows = rows.withColumn("synced_at", F.lit(None).cast("timestamp"))
+    write_buckets(rows, table, path, key, buckets)
+    return table
+
+
+def missing_keys_bucketed(spark, sf):
+    docs, _ = _docs(spark, sf)
+    return missing_keys_in(_bucketed(spark, sf, "tgt_docs"), docs)
+
+
+def upsert_bucketed(spark, sf):
+    docs, _ = _docs(spark, sf)
+    table = _bucketed(spark, sf, "tgt_docs")
+    new = upsert_in(table, docs, DOCS.value_columns, SYNCED_AT)
+    return _without_zone(replace_buckets(new, table, new_folder(spark, "upsert")))
+
+
+def patch_bucketed(spark, sf):
+    table = _bucketed(spark, sf, "tgt_extras")
+    new = patch_in(table, extra_diff(spark, sf), list(EXTRA_COLUMNS.values()))
+    return replace_buckets(new, table, new_folder(spark, "patch"))
+
+
 def upsert_outcomes(spark, sf):
     docs, target = _docs(spark, sf)
     return upsert_outcome(target, docs, "document_id")
@@ -169,6 +200,9 @@ QUERIES = {
     "dedupe_last_wins": dedupe_last_wins,
     "upsert_apply": upsert_apply,
     "upsert_outcome": upsert_outcomes,
+    "missing_keys_bucketed": missing_keys_bucketed,
+    "upsert_bucketed": upsert_bucketed,
+    "patch_bucketed": patch_bucketed,
     "reject_split": reject_split,
     "sync_report": sync_report,
     "sync_job": sync_job,
@@ -274,4 +308,7 @@ ORACLES = {
     "extra_diff": f"with {_DIFF} select * from diff",
     "extra_patch_apply": _PATCHED,
     "extra_patch_job": _PATCHED,
+    "patch_bucketed": _PATCHED,
 }
+ORACLES["missing_keys_bucketed"] = ORACLES["missing_keys"]
+ORACLES["upsert_bucketed"] = ORACLES["upsert_apply"]
