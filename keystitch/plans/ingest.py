@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -14,14 +15,14 @@ from keystitch.operators.links import active
 from keystitch.operators.ranges import high_water_range, manual_range, pending_days, range_warnings
 from keystitch.operators.readings import (
     complete_days,
-    day_counts,
     ingest_totals,
     map_readings,
     new_readings,
+    run_counts,
     valid_readings,
 )
 from keystitch.operators.reports import readings_summary
-from keystitch.sources.responses import explode_responses, failed_days, scan_bodies
+from keystitch.sources.responses import ARRIVAL, PLACE, explode_responses, failed_days, scan_bodies, with_place
 from keystitch.sources.tables import stage
 
 READINGS_SCHEMA = T.StructType(
@@ -74,6 +75,7 @@ def ingest_readings(
     (date, hour, tank_number) is skipped. A day without a landed body, or with an unreadable one, is
     a failed day: what can be read of it is loaded, and in the totals it counts as an error only.
     """
+    started = time.monotonic()
     manual = first is not None or last is not None
     target = read_readings(spark, table)
     asked = manual_range(spark, first, last) if manual else high_water_range(target, now, zone)
@@ -81,14 +83,18 @@ def ingest_readings(
     low, high = span["from_day"], span["to_day"]
 
     bodies = scan_bodies(spark, landed).filter(F.col("day").between(str(low), str(high)))
-    failed = stage(failed_days(bodies, pending_days(asked)), "failed-days")
-    mapped = stage(map_readings(explode_responses(bodies), keep=["dia", "seq", "pos"]), "readings")
+    read = with_place(explode_responses(bodies, every_body=True))
+    # the one scan of the bodies: what they hold, and the state of those that hold nothing
+    read = stage(map_readings(read, keep=["dia", *ARRIVAL, PLACE, "pos", "unreadable", "given"]), "readings")
+    failed = stage(failed_days(read, pending_days(asked), "dia"), "failed-days")
+    mapped = read.filter(F.col("pos").isNotNull())
     known = target.filter(F.col("date").between(F.lit(low), F.lit(high)))
-    new = stage(new_readings(known, valid_readings(mapped), ["seq", "pos"]), "new-readings")
-    counts = day_counts(mapped, known)
-    counts = stage(complete_days(counts, pending_days(asked)), "day-counts")
+    new = stage(new_readings(known, valid_readings(mapped), [*ARRIVAL, PLACE]), "new-readings")
+    counts = stage(complete_days(run_counts(mapped, new), pending_days(asked)), "day-counts")
     append_readings(new, table)
 
     done = active(read_readings(spark, table)).agg(F.max("date"))
     totals = ingest_totals(counts, failed)
-    return IngestRun(counts.orderBy("day"), totals, readings_summary(totals, span, None if manual else done))
+    elapsed = time.monotonic() - started
+    summary = readings_summary(totals, span, None if manual else done, elapsed=elapsed)
+    return IngestRun(counts.orderBy("day"), totals, summary)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from keystitch.operators.readings import map_readings, new_readings, valid_readings
 from keystitch.plans.ingest import READINGS_SCHEMA, append_readings, read_readings
-from keystitch.sources.responses import stream_responses
+from keystitch.sources.responses import ARRIVAL, PLACE, stream_responses, with_place
 from keystitch.sources.tables import empty_table
 
 
@@ -16,12 +16,13 @@ def append_batch(batch: DataFrame, table: str) -> None:
     The keyed anti join makes this safe to repeat: rows a failed attempt did write are known the
     second time. Only the day partitions the batch touches are read.
     """
-    valid = valid_readings(map_readings(batch, keep=["dia", "seq", "pos"])).persist()
+    order = [*ARRIVAL, PLACE]
+    valid = valid_readings(map_readings(with_place(batch), keep=["dia", *order])).persist()
     try:
         # a late reading of an old day adds that day, not all days since
         days = valid.select("date").distinct()
         target = read_readings(batch.sparkSession, table).join(days, "date", "left_semi")
-        append_readings(new_readings(target, valid, ["seq", "pos"]), table)
+        append_readings(new_readings(target, valid, order), table)
     finally:
         valid.unpersist()
 

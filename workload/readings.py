@@ -99,7 +99,7 @@ QUERIES = {
     "normalize_hour": lambda spark, sf: _raw(spark, sf).select(
         "ord", "hora", hour_of(script_trim(F.col("hora"))).alias("hour")
     ),
-    "readings_scan": lambda spark, sf: scan_responses(spark, land_responses(spark, sf)),
+    "readings_scan": lambda spark, sf: scan_responses(spark, land_responses(spark, sf)).drop("arrived", "file", "block"),
     "readings_map": _mapped,
     "readings_valid": lambda spark, sf: G.valid_readings(_mapped(spark, sf)),
     "insert_ignore": insert_ignore,
