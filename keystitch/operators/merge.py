@@ -22,8 +22,11 @@ def last_changes(changes: DataFrame, key: str, columns: Sequence[str], order: Se
     return last_per_key(changes.select(key, *names), [key], order).select(key, *columns)
 
 
-def overwrite_rows(target: DataFrame, changes: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Target with `columns` replaced where `changes`, of one row per key, has the key; a NULL overwrites too.
+def overwrite_rows(
+    target: DataFrame, changes: DataFrame, key: str, columns: Sequence[str], flag: str | None = None
+) -> DataFrame:
+    """Target with `columns` replaced where `changes`, of one row per key, has the key; a NULL overwrites too. `flag`
+    names a column to add that tells which rows were met.
 
     A left join: the target keeps its place and is not shuffled when the changes are small, and a
     skewed target partition can be split when they are not.
@@ -34,7 +37,8 @@ def overwrite_rows(target: DataFrame, changes: DataFrame, key: str, columns: Seq
     def value(c: str) -> Column:
         return F.when(hit, F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
 
-    return target.join(new, key, "left").select(*[value(c) for c in target.columns])
+    met = [] if flag is None else [hit.alias(flag)]
+    return target.join(new, key, "left").select(*[value(c) for c in target.columns], *met)
 
 
 def merge_rows(
@@ -79,11 +83,16 @@ def new_rows(target: DataFrame, rows: DataFrame, keys: Sequence[str], order: Seq
 
 
 def patch(
-    target: DataFrame, changes: DataFrame, key: str, columns: Sequence[str], order: Sequence[str] = ()
+    target: DataFrame,
+    changes: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    order: Sequence[str] = (),
+    flag: str | None = None,
 ) -> DataFrame:
     """Overwrite some columns of known keys; nothing is inserted and no load time is set. Of several
     changes of a key the last one by `order` counts."""
-    return overwrite_rows(target, last_changes(changes, key, columns, order), key, columns)
+    return overwrite_rows(target, last_changes(changes, key, columns, order), key, columns, flag)
 
 
 def delete_where(target: DataFrame, condition: Column) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from keystitch.operators.links import DOCUMENT_RULES, MOVEMENT_RULES, active
@@ -60,15 +60,15 @@ def sync_summary(report: DataFrame, script: str = "sync", elapsed: float = 0.0)
     ).select(_json(script, elapsed, [F.col("tables"), F.col("totals")]))
 
 
-def patch_summary(changes: DataFrame, script: str = "patch", elapsed: float = 0.0) -> DataFrame:
-    """One JSON row: rows found to differ, rows patched, rows in error."""
-    return changes.agg(F.count(F.lit(1)).alias("candidates")).select(
-        _json(
-            script,
-            elapsed,
-            [F.col("candidates"), F.col("candidates").alias("updated"), F.lit(0).alias("errors")],
-        )
-    )
+def counts_row(spark: SparkSession, counts: Mapping[str, int], name: str | None = None) -> DataFrame:
+    """One row of counters a run has at hand, after the name of its table if one is given."""
+    head = [] if name is None else [F.lit(name).alias("name")]
+    return spark.range(1).select(*head, *[F.lit(n).cast("bigint").alias(c) for c, n in counts.items()])
+
+
+def patch_summary(counts: DataFrame, script: str = "patch", elapsed: float = 0.0) -> DataFrame:
+    """One JSON row: changes found, rows patched, and changes that met no row."""
+    return counts.select(_json(script, elapsed, [F.col("candidates"), F.col("updated"), F.col("errors")]))
 
 
 def link_counts(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 from keystitch.operators.changes import change_keys, change_rows, watermark_time
 from keystitch.operators.keys import split_rejects
 from keystitch.operators.merge import merge_rows, with_synced_at
-from keystitch.operators.reports import COUNTERS, sync_report
+from keystitch.operators.reports import COUNTERS, counts_row, sync_report, sync_summary
 from keystitch.sources.specs import BLOCK, TableSpec, map_columns, misfit, with_block
-from keystitch.sources.tables import overwrite_partitions, stage, swap_table
+from keystitch.sources.tables import overwrite_partitions, stage, stage_counted, swap_table
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,7 @@ class SyncRun:
     report: DataFrame
     rejects: DataFrame
     good: DataFrame
+    counts: dict[str, int]
 
 
 def sync_table(
@@ -53,12 +55,25 @@ def sync_table(
     extra = [c.alias(name) for name, c in ordinals.items()]
     rows = map_columns(source, spec, keep=[*extra, misfit(source, spec).alias("_misfit")])
     watermark = stage(watermark_time(target, stamp), "watermark").scalar() if stamp else None
-    keys = stage(change_keys(rows, target, key, stamp, watermark), "keys")
+    outcome, copies = F.col("outcome"), F.col("copies")
+    keys, found = stage_counted(
+        change_keys(rows, target, key, stamp, watermark),
+        "keys",
+        missing=F.sum(F.when(outcome != "updated", copies)),
+        keyless=F.sum(F.when(outcome == "rejected", copies)),
+    )
     changed = change_rows(rows, keys, key, stamp, watermark, [*ordinals]).drop(*ordinals)
     changed = with_block(with_synced_at(changed, synced_at), spec)
     checks = {"value does not fit its type": F.col("_misfit").isNull()} | (checks or {})
-    changed = stage(split_rejects(changed, checks).drop("_misfit"), "changes")
-    good = changed.filter(F.col("reason").isNull() & F.col("outcome").isin("inserted", "updated"))
+    fits = F.col("reason").isNull()
+    changed, applied = stage_counted(
+        split_rejects(changed, checks).drop("_misfit"),
+        "changes",
+        inserted=F.count_if(fits & (outcome == "inserted")),
+        updated=F.count_if(fits & (outcome == "updated")),
+        rejected=F.count_if(~fits),
+    )
+    good = changed.filter(fits & outcome.isin("inserted", "updated"))
 
     if "synced_at" not in target.columns:
         target = target.withColumn("synced_at", F.lit(None).cast("timestamp"))
@@ -73,57 +88,55 @@ def sync_table(
         key,
         [*spec.value_columns, "synced_at", *blocks],
     )
-    return SyncRun(table, _report(keys, changed, spec.name), changed.filter(F.col("reason").isNotNull()), good)
-
-
-def _report(keys: DataFrame, changed: DataFrame, name: str) -> DataFrame:
-    zero, outcome = F.lit(0).cast("bigint"), F.col("outcome")
-    good = F.col("reason").isNull()
+    counts = {
+        "missing": found["missing"],
+        "inserted": applied["inserted"],
+        "updated": applied["updated"],
+        "errors": found["keyless"] + applied["rejected"],
+    }
+    report = counts_row(source.sparkSession, {c: counts[c] for c in COUNTERS}, spec.name)
+    return SyncRun(table, report, changed.filter(~fits), good, counts)
 
-    def when(condition: Column, value: Column) -> Column:
-        return F.when(condition, value.cast("bigint")).otherwise(zero)
 
-    found = {
-        "missing": when(outcome != "updated", F.col("copies")),
-        "inserted": zero,
-        "updated": zero,
-        "errors": when(outcome == "rejected", F.col("copies")),
-    }
-    applied = {
-        "missing": zero,
-        "inserted": when(good & (outcome == "inserted"), F.lit(1)),
-        "updated": when(good & (outcome == "updated"), F.lit(1)),
-        "errors": when(~good, F.lit(1)),
-    }
-    parts = [
-        df.select(*[c.alias(n) for n, c in counts.items()])
-        for df, counts in ((keys, found), (changed, applied))
-    ]
-    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS]
-    return parts[0].unionByName(parts[1]).agg(*sums).select(F.lit(name).alias("name"), *COUNTERS)
+@dataclass(frozen=True)
+class TablesRun:
+    report: DataFrame
+    summary: DataFrame
 
 
-def sync_tables(
+def sync_run(
     specs: Sequence[TableSpec],
     read_source: Callable[[TableSpec], DataFrame],
     base: str,
     synced_at: datetime | str,
-) -> DataFrame:
-    """Synchronise catalog tables one after the other; returns the report with its total.
+) -> TablesRun:
+    """Synchronise catalog tables one after the other; gives the report with its total, and the summary with the time
+    it took.
 
     `read_source` gives the source table of a spec. `base` is the folder for the new versions of
     tables without blocks; a table with blocks is a partitioned one and changes in place. A table
     without changes is not written.
     """
-    reports = []
+    started, reports = time.monotonic(), []
     for spec in specs:
         source = read_source(spec)
         run = sync_table(source, source.sparkSession.table(spec.target), spec, synced_at)
-        if run.good.isEmpty():
+        if not run.counts["inserted"] + run.counts["updated"]:
             pass
         elif spec.block_size is None:
             swap_table(run.table, spec.target, f"{base}/{spec.target}")
         else:
             overwrite_partitions(stage(run.table, "blocks"), spec.target)
         reports.append(run.report)
-    return sync_report(reports)
+    report = sync_report(reports)
+    return TablesRun(report, sync_summary(report, elapsed=time.monotonic() - started))
+
+
+def sync_tables(
+    specs: Sequence[TableSpec],
+    read_source: Callable[[TableSpec], DataFrame],
+    base: str,
+    synced_at: datetime | str,
+) -> DataFrame:
+    """The report of `sync_run`."""
+    return sync_run(specs, read_source, base, synced_at).report

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -38,6 +38,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, write, **counters: Column):
+    """What `write(df)` returns, and the values of some aggregates of `df` that the write itself adds up.
+
+    The counters come with the tasks of the write, so no second scan finds them. Sums of no rows are 0."""
+    seen = Observation()
+    zero = F.lit(0).cast("long")
+    found = write(df.observe(seen, *[F.coalesce(c, zero).alias(n) for n, c in counters.items()]))
+    # a plan that turns out to be empty may end without its counters
+    return found, {n: (seen.get or {}).get(n) or 0 for n in counters}
+
+
+def stage_counted(df: DataFrame, name: str, **counters: Column) -> tuple[DataFrame, dict[str, int]]:
+    return counted(df, lambda rows: stage(rows, name), **counters)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that `new_folder` or `stage` made, through the file system Spark uses."""
     folder, system = _at(spark, path)
@@ -50,12 +65,26 @@ def _at(spark: SparkSession, path: str):
 
 
 def replace_folder(spark: SparkSession, new: str, path: str) -> None:
-    """Put the complete folder `new` in the place of `path`."""
+    """Put the complete folder `new` in the place of `path`.
+
+    The old folder is moved aside first and removed last, so that at any moment one complete folder exists; where the
+    new one cannot be moved in, the old one goes back."""
     source, system = _at(spark, new)
     target, _ = _at(spark, path)
-    system.delete(target, True)
-    if not system.rename(source, target):
+    old, _ = _at(spark, f"{path}.{uuid.uuid4().hex}.old")
+    there = system.exists(target)
+    if there and not system.rename(target, old):
+        raise RuntimeError(f"{path} could not be moved aside; {new} is complete")
+    moved = False
+    try:
+        moved = system.rename(source, target)
+    finally:
+        if there and not moved:
+            system.rename(old, target)
+    if not moved:
         raise RuntimeError(f"{new} is complete but could not be moved to {path}")
+    if there:
+        system.delete(old, True)
 
 
 def folders_in(spark: SparkSession, path: str) -> list[str]:

@@ -7,7 +7,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from keystitch.operators import links as L
-from keystitch.plans.linking import link_all
+from keystitch.plans.linking import link_all, link_tables
+from workload.standins import standin
 
 LOOKUP = "id long, pid string, active int"
 LINKS = (
@@ -199,3 +200,21 @@ def test_a_movement_listed_twice_links_a_unit_once(spark):
     links = spark.createDataFrame([], "movement_id int, unit_id int, active int")
     found = L.link_movements(movements, units, links).collect()
     assert [(r.movement_id, r.unit_id, r.rule) for r in found] == [(1, 5, "direct")]
+
+
+def test_link_tables_appends_once(spark, sf):
+    names = ("docs_text", "maint", "acc", "doc_links", "mov_text", "units", "mov_links")
+    tables = [f"linked_{n}" for n in names]
+    for n, t in zip(names, tables, strict=True):
+        standin(spark, sf, n).write.mode("overwrite").saveAsTable(t)
+    files = lambda: {r.f for t in (tables[3], tables[6]) for r in spark.table(t).select(F.input_file_name().alias("f")).distinct().collect()}
+    before = [spark.table(t).count() for t in (tables[3], tables[6])]
+    run = link_tables(spark, *tables)
+    delta = run.counts.select("documents.delta", F.col("movements.delta").alias("m")).first()
+    after = [spark.table(t).count() for t in (tables[3], tables[6])]
+    assert [b - a for a, b in zip(before, after, strict=True)] == [delta["delta"], delta["m"]] and min(delta) > 0
+    held = files()
+    again = link_tables(spark, *tables).counts.select("documents.delta", F.col("movements.delta").alias("m")).first()
+    assert tuple(again) == (0, 0) and files() == held
+    for t in tables:
+        spark.sql(f"drop table {t}")

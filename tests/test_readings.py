@@ -5,11 +5,12 @@ import os
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from keystitch.operators import quality as Q
 from keystitch.operators import ranges as R
 from keystitch.operators import readings as G
-from keystitch.plans.cleanup import clean_hours
+from keystitch.plans.cleanup import clean_hours, clean_table
 from keystitch.plans.ingest import READINGS_SCHEMA, ingest_readings, read_readings
 from keystitch.sources.responses import READING_FIELDS, failed_days, scan_bodies, scan_responses
 from keystitch.sources.tables import empty_table
@@ -245,3 +246,18 @@ def test_values_of_any_json_type_are_read_as_text(spark, tmp_path):
     land(tmp_path, DAY, [reading(DAY, "09:30", 1, v) for v in values])
     mapped = G.map_readings(scan_responses(spark, str(tmp_path)), keep=["pos"]).orderBy("pos")
     assert [r.volume for r in mapped.collect()] == [1.0, 1.5, 2.0, None, None, None, None, None, None, 1e300, 12345678901234567890.0]
+
+
+def test_cleaned_table_rewrites_touched_days_only(spark):
+    data = [(1, "09:3:", date(2024, 1, 1)), (2, "09:30", date(2024, 1, 1)), (3, "1", date(2024, 1, 2)), (4, "10:1:", date(2024, 1, 3))]
+    data += [(5, "08:1:", None), (6, None, None)]
+    spark.createDataFrame(data, "id long, hour string, date date").write.partitionBy("date").saveAsTable("hours")
+    files = lambda: {r.f for r in spark.table("hours").select(F.input_file_name().alias("f")).distinct().collect()}
+    before = files()
+    run = clean_table(spark, "hours")
+    assert run.count.first().total == 3
+    assert [r.id for r in spark.table("hours").orderBy("id").collect()] == [2, 3, 6]
+    after = files()
+    assert {f for f in before if "2024-01-02" in f} <= after
+    assert clean_table(spark, "hours").count.first().total == 0 and files() == after
+    spark.sql("drop table hours")

@@ -13,10 +13,10 @@ from keystitch.operators import keys as K
 from keystitch.operators import merge as M
 from keystitch.operators.extras import changed_texts, rows_with_text
 from keystitch.operators.reports import max_id_or_one, summary_line, sync_report, sync_summary
-from keystitch.plans.extras import patch_extras
+from keystitch.plans.extras import patch_extras, patch_table
 from keystitch.plans.sync import sync_table, sync_tables
 from keystitch.sources.specs import SPECS, TableSpec, map_columns, select_specs, with_block
-from keystitch.sources.tables import swap_table
+from keystitch.sources.tables import replace_folder, stage_counted, swap_table
 
 SPEC = TableSpec("docs", "docs_copy", "id", "ID", "stamp", {"ID": "id", "V": "v", "TS": "stamp"})
 UNSTAMPED = TableSpec("movs", "movs_copy", "id", "ID", None, SPEC.columns)
@@ -269,8 +269,32 @@ def test_text_patch(spark, rows):
         (4, " x ", None, None, "t"),
     ]
     assert json.loads(run.summary.first().summary)["candidates"] == 2
+    assert run.counts == {"candidates": 2, "updated": 2, "errors": 0}
     again = json.loads(patch_extras(source, run.table).summary.first().summary)
-    assert again == {"script": "patch", "elapsed_seconds": 0.0, "candidates": 0, "updated": 0, "errors": 0}
+    assert again.pop("elapsed_seconds") > 0
+    assert again == {"script": "patch", "candidates": 0, "updated": 0, "errors": 0}
+    # a key that two target rows have is two updates
+    assert patch_extras(source, target.union(target.where("document_id = 2"))).counts["updated"] == 3
+
+
+def test_patched_table_is_written_once(spark, rows, tmp_path):
+    source = spark.createDataFrame([(1, "a", None, None)], EXTRA_SOURCE)
+    spark.createDataFrame([(1, "b", None, None, "t"), (2, "c", None, None, "t")], EXTRA_TARGET).write.saveAsTable("patched")
+    files = lambda: {r.f for r in spark.table("patched").select(F.input_file_name().alias("f")).distinct().collect()}
+    assert patch_table(spark, source, "patched", str(tmp_path)).counts == {"candidates": 1, "updated": 1, "errors": 0}
+    assert rows(spark.table("patched").select("document_id", "extra_text_one")) == [(1, "a"), (2, "c")]
+    before = files()
+    assert patch_table(spark, source, "patched", str(tmp_path)).counts == {"candidates": 0, "updated": 0, "errors": 0}
+    assert files() == before
+    spark.sql("drop table patched")
+
+
+def test_counters_of_a_write(spark):
+    df = spark.range(100)
+    staged, counts = stage_counted(df.repartition(7), "counted", rows=F.count(F.lit(1)), odd=F.count_if(F.col("id") % 2 == 1))
+    assert staged.count() == 100 and counts == {"rows": 100, "odd": 50}
+    for empty in (df.limit(0), df.where("id < 0"), df.join(df.limit(0), "id")):
+        assert stage_counted(empty, "counted", rows=F.count(F.lit(1)), total=F.sum("id"))[1] == {"rows": 0, "total": 0}
 
 
 def test_report_of_one_table(spark):
@@ -291,3 +315,15 @@ def test_a_partitioned_table_is_not_swapped(spark, tmp_path):
     with pytest.raises(ValueError, match="partitioned"):
         swap_table(df, "swap_partitioned", str(tmp_path))
     assert spark.table("swap_partitioned").count() == 1
+
+
+def test_replaced_folder_is_there_at_every_moment(spark, tmp_path):
+    old, new = tmp_path / "t", tmp_path / "n"
+    spark.range(3).write.parquet(str(old))
+    spark.range(5).write.parquet(str(new))
+    with pytest.raises(Exception):  # noqa: B017
+        replace_folder(spark, str(tmp_path / "absent"), str(old))
+    assert spark.read.parquet(str(old)).count() == 3
+    replace_folder(spark, str(new), str(old))
+    assert spark.read.parquet(str(old)).count() == 5
+    assert [p.name for p in tmp_path.iterdir() if p.is_dir()] == ["t"]

@@ -12,7 +12,7 @@ from keystitch.functions.text import script_trim
 from keystitch.operators import quality as Q
 from keystitch.operators import ranges as R
 from keystitch.operators import readings as G
-from keystitch.plans.cleanup import clean_hours
+from keystitch.plans.cleanup import clean_hours, clean_table
 from keystitch.plans.ingest import READINGS_SCHEMA, ingest_readings, read_readings
 from keystitch.sources.responses import READING_FIELDS, scan_responses
 from keystitch.sources.tables import new_folder
@@ -95,6 +95,14 @@ def _ingest_run(spark, sf):
     return ingest_readings(spark, landed, table, NOW, date(2023, 12, 30), date(2024, 1, 31))
 
 
+def cleanup_delete_job(spark, sf):
+    path = new_folder(spark, "hours")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    hours = standin(spark, sf, "bad_hours").hint("rebalance", "date")
+    hours.write.partitionBy("date").option("path", path).saveAsTable(name)
+    return clean_table(spark, name).table
+
+
 QUERIES = {
     "normalize_hour": lambda spark, sf: _raw(spark, sf).select(
         "ord", "hora", hour_of(script_trim(F.col("hora"))).alias("hour")
@@ -117,6 +125,7 @@ QUERIES = {
     "bad_hour_by_date": lambda spark, sf: Q.bad_hour_by_date(standin(spark, sf, "bad_hours")),
     "bad_hour_profile": lambda spark, sf: Q.bad_hour_profile(standin(spark, sf, "bad_hours")),
     "bad_hour_clean": lambda spark, sf: Q.without_bad_hours(standin(spark, sf, "bad_hours")),
+    "cleanup_delete_job": cleanup_delete_job,
     "cleanup_job": lambda spark, sf: clean_hours(standin(spark, sf, "bad_hours")).by_date,
 }
 
@@ -206,3 +215,4 @@ ORACLES = {
         where hour is null or not regexp_matches(hour, '^[0-9]{2}:[0-9]:$')""",
     "cleanup_job": f"with {_BY_DATE} select * from by_date",
 }
+ORACLES["cleanup_delete_job"] = ORACLES["bad_hour_clean"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +23,10 @@ from keystitch.operators.keys import fetch_rows, last_per_key, missing_keys, spl
 from keystitch.operators.merge import patch, upsert, upsert_outcome
 from keystitch.operators.reports import sync_report as total_report
 from keystitch.plans.extras import patch_extras
-from keystitch.plans.sync import sync_table
+from keystitch.plans.sync import sync_run, sync_table
 from keystitch.sources.buckets import missing_keys_in, patch_in, replace_buckets, upsert_in, write_buckets
 from keystitch.sources.specs import DOCUMENTS, TableSpec, map_columns as rename
-from keystitch.sources.tables import new_folder
+from keystitch.sources.tables import new_folder, swap_table
 from keystitch.sources.tables import scan_keys as key_scan
 from workload.standins import driver_table, standin
 
@@ -168,6 +170,17 @@ def sync_job(spark, sf):
     return _without_zone(run.table)
 
 
+def report_json(spark, sf):
+    """The summary of a run over two catalog tables, without the time it took."""
+    base = new_folder(spark, "versions")
+    specs = [replace(s, target=f"{s.target}_{base[-32:]}") for s in (DOCS, CLIENTS)]
+    for spec, name in zip(specs, ("tgt_docs", "tgt_clients"), strict=True):
+        table = standin(spark, sf, name).withColumn("synced_at", F.lit(None).cast("timestamp"))
+        swap_table(table, spec.target, f"{base}/{spec.target}")
+    run = sync_run(specs, lambda spec: standin(spark, sf, spec.name), base, SYNCED_AT)
+    return run.summary.select(F.regexp_replace("summary", '"elapsed_seconds":[0-9.E-]+,', "").alias("summary"))
+
+
 def any_extra_filter(spark, sf):
     return rows_with_text(standin(spark, sf, "src_extras"), "CIDDOCUMENTO", "document_id")
 
@@ -206,6 +219,7 @@ QUERIES = {
     "reject_split": reject_split,
     "sync_report": sync_report,
     "sync_job": sync_job,
+    "report_json": report_json,
     "any_extra_filter": any_extra_filter,
     "extra_diff": extra_diff,
     "extra_patch_apply": extra_patch_apply,
@@ -310,5 +324,11 @@ ORACLES = {
     "extra_patch_job": _PATCHED,
     "patch_bucketed": _PATCHED,
 }
+_ENTRY = """'{"name":"' || name || '",' || numbers || '}'"""
+ORACLES["report_json"] = f"""with counted as ({ORACLES["sync_report"]}), written as (
+    select name, '"missing":' || missing || ',"inserted":' || inserted || ',"updated":' || updated || ',"errors":' || errors
+        as numbers from counted)
+    select '{{"script":"sync","tables":[' || (select string_agg({_ENTRY}, ',' order by name) from written where name is not null)
+        || '],"totals":{{' || (select numbers from written where name is null) || '}}}}' as summary"""
 ORACLES["missing_keys_bucketed"] = ORACLES["missing_keys"]
 ORACLES["upsert_bucketed"] = ORACLES["upsert_apply"]
