@@ -19,6 +19,7 @@ UNIT_THREE_DIGITS = rf"^{UNIT_PREFIX}[0-9]{{3}}\z"
 UNIT_SHORT = rf"^{UNIT_PREFIX}[0-9]{{1,2}}\z"
 UNIT_WHOLE = rf"^{UNIT_PREFIX}[0-9]{{1,3}}\z"
 UNIT_ANYWHERE = rf"{UNIT_PREFIX}[0-9]{{1,3}}"
+UNIT_BOUNDED = rf"(?<![A-Za-z0-9]){UNIT_ANYWHERE}(?![A-Za-z0-9])"
 UNIT_STORED = rf"{UNIT_PREFIX}[0-9]{{2,3}}"
 
 
@@ -58,18 +59,33 @@ def _pad3(digits: Column) -> Column:
     return F.lpad(digits, 3, "0")
 
 
+def bounded_codes(text: Column) -> Column:
+    """Every code that stands alone in a text, left to right, with three digits: neither a letter nor a digit touches it,
+    and its prefix and digits are of one occurrence."""
+
+    def padded(found: Column) -> Column:
+        return F.concat(F.substring(found, 1, 3), _pad3(F.substring(found, 4, 3)))
+
+    return F.transform(F.regexp_extract_all(text, F.lit(UNIT_BOUNDED), F.lit(0)), padded)
+
+
 def unit_match(
-    text: Column, trimmed: Column, upper: Column, steps: Sequence[str] = ("direct", "padded", "text")
+    text: Column,
+    trimmed: Column,
+    upper: Column,
+    steps: Sequence[str] = ("direct", "padded", "text"),
+    strict: bool = False,
 ) -> Column:
-    """The unit a movement text names, as an array of at most one (code, eco_number, confidence, rule);
-    NULL without one. `trimmed` and `upper` are the text without outer blanks, as written and in
+    """The unit a movement text names, as an array of at most one (code, eco_number, confidence, rule), or with `strict`
+    of all that `text` finds; NULL without one. `trimmed` and `upper` are the text without outer blanks, as written and in
     upper case.
 
     `code` has three digits and is what is looked up; `eco_number` is what the link stores. Only
     `direct` ignores case: the other rules read the text as written, so that a lower-case prefix
     gives no code. Under `text` the prefix and the digits may come from different places, digits
     beyond the third are cut, only the first code counts, and the stored code needs two or three
-    digits as written. The rules exclude each other.
+    digits as written. With `strict` that rule takes all codes that stand alone, see `bounded_codes`, and stores them
+    with three digits. The rules exclude each other.
     """
     # under the short shape a code is its first three characters and the digits behind them
     padded = F.concat(F.substring(upper, 1, 3), _pad3(F.substring(upper, 4, 3)))
@@ -93,12 +109,17 @@ def unit_match(
 
     def match(step: str) -> Column:
         applies, code, stored, confidence = rules[step]
-        found = F.struct(
-            code.alias("code"),
-            stored.alias("eco_number"),
-            F.lit(confidence).alias("confidence"),
-            F.lit(step).alias("rule"),
-        )
-        return F.when(applies, F.array(found))
+
+        def found(code: Column, stored: Column) -> Column:
+            return F.struct(
+                code.alias("code"),
+                stored.alias("eco_number"),
+                F.lit(confidence).alias("confidence"),
+                F.lit(step).alias("rule"),
+            )
+
+        if strict and step == "text":
+            return F.when(applies, F.transform(bounded_codes(text), lambda c: found(c, c)))
+        return F.when(applies, F.array(found(code, stored)))
 
     return F.coalesce(*[match(s) for s in steps])

@@ -156,14 +156,16 @@ def link_movements(
     units: DataFrame,
     links: DataFrame,
     steps: Sequence[str] = ("direct", "padded", "text"),
+    strict: bool = False,
 ) -> DataFrame:
-    """New movement links. A text falls under at most one of the three rules, so one pass does. Of several
+    """New movement links. A text falls under at most one of the three rules, so one pass does. With `strict` a free text
+    links every unit whose code stands alone in it, instead of one put together from parts. Of several
     rows of one movement that name the same unit the one with the earliest rule counts."""
     text = F.col("extra_text_one")
     coded = (
         active(movements)
         .select("movement_id", "extra_text_one", F.trim(text).alias("trimmed"), F.upper(F.trim(text)).alias("upper"))
-        .select("movement_id", F.inline(unit_match(text, F.col("trimmed"), F.col("upper"), steps)))
+        .select("movement_id", F.inline(unit_match(text, F.col("trimmed"), F.col("upper"), steps, strict)))
         .filter(F.col("code").isNotNull())
     )
     code = F.upper("eco_number")

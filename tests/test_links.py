@@ -218,3 +218,27 @@ def test_link_tables_appends_once(spark, sf):
     assert tuple(again) == (0, 0) and files() == held
     for t in tables:
         spark.sql(f"drop table {t}")
+
+
+def test_strict_rule_takes_codes_that_stand_alone(spark):
+    texts = {
+        1: "STAR-123 frenos", 2: "TP-X y AP-12", 3: "AP-1, TP-22;AR-333", 4: "AP-1234 x", 5: "ap-12 x", 6: "AP-12", 7: "x AP-5a", 8: "(PR-7)",
+        9: "AP-1 AP-1 AP-01", 10: None, 11: "", 12: "9AP-1 y", 13: "TR-4-5",
+    }
+    movements = spark.createDataFrame([(i, t, 1) for i, t in texts.items()], "movement_id int, extra_text_one string, active int")
+    codes = ["AP-012", "AP-001", "TP-022", "AR-333", "AR-123", "TP-012", "AP-123", "AP-005", "PR-007", "TR-004"]
+    units = spark.createDataFrame([(i, c, 1) for i, c in enumerate(codes)], "id int, eco_number string, active int")
+    links = spark.createDataFrame([], "movement_id int, unit_id int, active int")
+    found = L.link_movements(movements, units, links, ["text"], strict=True).collect()
+    assert sorted((r.movement_id, r.eco_number, codes[r.unit_id], r.confidence) for r in found) == [
+        (i, c, c, "medium")
+        for i, c in [(2, "AP-012"), (3, "AP-001"), (3, "AR-333"), (3, "TP-022"), (8, "PR-007"), (9, "AP-001"), (13, "TR-004")]
+    ]
+
+
+def test_every_supplier_is_a_unit(spark):
+    suppliers = spark.range(1, 3001).withColumnRenamed("id", "s_suppkey")
+    from workload.standins import STANDINS
+
+    units = spark.sql(STANDINS["units"].replace("from supplier", "from {supplier}"), supplier=suppliers)
+    assert units.count() == units.select("eco_number").distinct().count() == 3000

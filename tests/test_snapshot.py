@@ -96,3 +96,34 @@ def test_restore_removes_what_the_snapshot_lacks_and_keeps_a_table_whose_load_fa
     assert [p.name for p in (tmp_path / "target").iterdir()] == ["a"]
     with pytest.raises(ValueError, match="below the target"):
         S.restore_snapshot(spark, snapshot, ["a"], str(tmp_path))
+
+
+def test_a_changed_row_is_found(spark, tmp_path):
+    folder, target = str(tmp_path / "s"), str(tmp_path / "t")
+    rows = [(1, "a", None), (2, None, "a"), (2, None, "a"), (3, "", "x")]
+    table = spark.createDataFrame(rows, "id long, u string, v string")
+    S.write_snapshot({"a": table, "b": table, "c": table}, folder, ["b"])
+    held = S.restore_snapshot(spark, folder, ["a", "b", "c"], target)
+    check = lambda tables: {r.table: tuple(r)[1:] for r in S.verify_restore(spark, folder, tables, ids={"a": "id", "b": "id"}).collect()}
+    assert check(held) == {"a": (4, 4, True, 3), "b": (0, 0, True, 1), "c": (4, 4, True, None)}
+    assert check(held | {"a": held["a"].orderBy("u").repartition(3)})["a"] == (4, 4, True, 3)
+    changed = {
+        "null or empty": [(1, "a", None), (2, "", "a"), (2, None, "a"), (3, "", "x")],
+        "moved a column": [(1, None, "a"), (2, None, "a"), (2, None, "a"), (3, "", "x")],
+        "another repeat": [(1, "a", None), (1, "a", None), (2, None, "a"), (3, "", "x")],
+    }
+    for other in changed.values():
+        assert check(held | {"a": spark.createDataFrame(other, table.schema)})["a"][:3] == (4, 4, False)
+    assert check(held | {"a": table.limit(3)})["a"][:3] == (4, 3, False)
+    lost = check({"a": held["a"], "z": held["a"]})
+    assert lost["c"] == (4, None, False, None) and lost["z"][:3] == (None, 4, False)
+
+
+def test_an_export_is_verified_by_its_own_manifest(spark, tmp_path):
+    folder, target = str(tmp_path / "s"), str(tmp_path / "t")
+    table = spark.createDataFrame([(1, date(2025, 1, 1), 'x "y"'), (2, date(2026, 1, 1), ""), (3, date(2026, 2, 1), None)], "id long, d date, v string")
+    S.write_snapshot({"m": table}, folder, ["m"])
+    S.export_since(table, "d", "2026-01-01", f"{folder}/m_csv")
+    exports = {"m": f"{folder}/m_csv"}
+    held = S.restore_snapshot(spark, folder, ["m"], target, exports)
+    assert [tuple(r) for r in S.verify_restore(spark, folder, held, exports, {"m": "id"}).collect()] == [("m", 2, 2, True, 3)]

@@ -28,6 +28,10 @@ def _movements_of(step):
     return lambda spark, sf: _movements(spark, sf, steps=[step])
 
 
+def link_mov_strict(spark, sf):
+    return _movements(spark, sf, steps=["text"], strict=True)
+
+
 def folio_candidates(spark, sf):
     docs = standin(spark, sf, "docs_text")
     return L.folio_candidates(docs, ["multi"], distinct=False).select("document_id", "link_type", "pid")
@@ -64,6 +68,7 @@ QUERIES = {
     "link_mov_exact": _movements_of("direct"),
     "link_mov_padded": _movements_of("padded"),
     "link_mov_text": _movements_of("text"),
+    "link_mov_strict": link_mov_strict,
     "link_movs_all": lambda spark, sf: _movements(spark, sf),
     "doc_link_stats": lambda spark, sf: L.document_link_stats(standin(spark, sf, "doc_links")),
     "mov_link_stats": lambda spark, sf: L.movement_link_stats(standin(spark, sf, "mov_links")),
@@ -112,39 +117,54 @@ _MULTI = """select distinct c.document_id, c.link_type, m.id as maintenance_id,
         where l.document_id = c.document_id and l.accident_id = a.id and l.active = 1)"""
 _DOCS_ALL = " union all ".join([*_STEPS.values(), _MULTI])
 
-_P = "(?:AP|TP|TR|AR|PR)-"
+_P = "(AP|TP|TR|AR|PR)"
+# every text taken apart once: the whole of it as one code, and what looks like codes within it
+_PARTS = rf"""parts as (
+    select movement_id, extra_text_one as whole, trim(extra_text_one, ' ') as word,
+        regexp_extract(upper(trim(extra_text_one, ' ')), '^{_P}-(\d+)$', 1) as own_prefix,
+        regexp_extract(upper(trim(extra_text_one, ' ')), '^{_P}-(\d+)$', 2) as own_digits,
+        regexp_extract(extra_text_one, '{_P}-', 1) as first_prefix,
+        regexp_extract(extra_text_one, '{_P}-(\d+)', 2) as first_digits,
+        regexp_extract(trim(extra_text_one, ' '), '{_P}-\d\d\d?') as long_code,
+        regexp_matches(upper(extra_text_one), '{_P}-\d') as has_code
+    from mov_text where active = 1 and extra_text_one is not null)"""
+# what each rule reads off the parts: the code to look up and the one to store
+_NAMED = f"""{_PARTS}, named as (
+    select movement_id, 'direct' as rule, own_prefix || '-' || own_digits as code,
+        own_prefix || '-' || own_digits as stored, 'high' as confidence
+    from parts where length(own_digits) = 3
+    union all
+    select movement_id, 'padded', case when starts_with(word, own_prefix) then own_prefix || '-' || lpad(own_digits, 3, '0') end,
+        own_prefix || '-' || lpad(own_digits, 3, '0'), 'high'
+    from parts where length(own_digits) in (1, 2)
+    union all
+    select movement_id, 'text', first_prefix || '-' || lpad(first_digits, 3, '0'), nullif(long_code, ''), 'medium'
+    from parts where has_code and length(own_digits) not between 1 and 3 and first_prefix <> '' and first_digits <> ''
+    union all
+    select movement_id, 'strict', c, c, 'medium' from (
+        select movement_id, split_part(f, '--', 1) || '-' || lpad(split_part(f, '--', 2), 3, '0') as c from (
+            -- separators are doubled, so that neighbours do not share one
+            select movement_id, unnest(regexp_extract_all(regexp_replace(' ' || whole || ' ', '([^A-Za-z0-9])', '\\1\\1', 'g'),
+                '[^A-Za-z0-9]({_P}--\\d\\d?\\d?)[^A-Za-z0-9]', 1)) as f
+            from parts where has_code and length(own_digits) not between 1 and 3)))"""
 
 
-def _mov_step(key: str, stored: str, condition: str, confidence: str) -> str:
-    return f"""select distinct m.movement_id, u.id as unit_id, {stored} as eco_number,
-            'auto_direct' as match_method, '{confidence}' as confidence
-        from (select *, trim(extra_text_one, ' ') as t, upper(trim(extra_text_one, ' ')) as up
-              from mov_text) m
-        join units u on {key} = upper(u.eco_number) and u.active = 1
-        where m.active = 1 and m.extra_text_one is not null and {condition}
-          and not exists (select 1 from mov_links l
-              where l.movement_id = m.movement_id and l.unit_id = u.id and l.active = 1)"""
+def _mov_links(*rules: str) -> str:
+    wanted = ", ".join(f"'{r}'" for r in rules)
+    return f"""with {_NAMED} select distinct n.movement_id, u.id as unit_id, n.stored as eco_number,
+            'auto_direct' as match_method, n.confidence
+        from named n join units u on u.active = 1 and upper(u.eco_number) = n.code
+        where n.rule in ({wanted}) and not exists (select 1 from mov_links l
+            where l.active = 1 and l.movement_id = n.movement_id and l.unit_id = u.id)"""
 
 
 _MOVS = {
-    "link_mov_exact": _mov_step("m.up", "m.up", rf"regexp_matches(m.up, '^{_P}\d{{3}}$')", "high"),
-    "link_mov_padded": _mov_step(
-        rf"upper(nullif(regexp_extract(m.t, '^{_P}'), '')) "
-        rf"|| lpad(nullif(regexp_extract(m.up, '-(\d{{1,3}})$', 1), ''), 3, '0')",
-        rf"upper(regexp_replace(m.t, '^({_P})0*(\d{{1,3}})$', '\1', 'i')) "
-        rf"|| lpad(regexp_replace(m.up, '^{_P}0*(\d{{1,3}})$', '\1', 'i'), 3, '0')",
-        rf"regexp_matches(m.up, '^{_P}\d{{1,2}}$')",
-        "high",
-    ),
-    "link_mov_text": _mov_step(
-        rf"upper(nullif(regexp_extract(m.extra_text_one, '{_P}'), '') "
-        rf"|| lpad(nullif(regexp_extract(m.extra_text_one, '{_P}(\d{{1,3}})', 1), ''), 3, '0'))",
-        rf"upper(nullif(regexp_extract(m.t, '{_P}\d{{2,3}}'), ''))",
-        rf"regexp_matches(m.up, '{_P}\d{{1,3}}') and not regexp_matches(m.up, '^{_P}\d{{1,3}}$')",
-        "medium",
-    ),
+    "link_mov_exact": _mov_links("direct"),
+    "link_mov_padded": _mov_links("padded"),
+    "link_mov_text": _mov_links("text"),
+    "link_mov_strict": _mov_links("strict"),
 }
-_MOVS_ALL = " union all ".join(_MOVS.values())
+_MOVS_ALL = _mov_links("direct", "padded", "text")
 
 
 def _count(table: str, alias: str, condition: str = "true") -> str:

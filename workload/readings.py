@@ -113,7 +113,7 @@ QUERIES = {
     "insert_ignore": insert_ignore,
     "high_water_range": _range,
     "pending_days": lambda spark, sf: R.pending_days(_range(spark, sf)),
-    "missing_days": lambda spark, sf: R.missing_days(_target(spark, sf)),
+    "missing_days": lambda spark, sf: R.missing_days(standin(spark, sf, "station_readings")),
     "day_sequence": day_sequence,
     "ingest_day_counts": ingest_day_counts,
     "ingest_totals": lambda spark, sf: G.ingest_totals(ingest_day_counts(spark, sf)),
@@ -178,7 +178,7 @@ ORACLES = {
     "high_water_range": f"with {_RANGE} select *, from_day > to_day as up_to_date from span",
     "pending_days": f"""with {_RANGE} select cast(d as date) as day from span,
         unnest(generate_series(cast(from_day as timestamp), cast(to_day as timestamp), interval 1 day)) as g(d)""",
-    "missing_days": """with live as (select date from tgt_readings where active = 1)
+    "missing_days": """with live as (select date from station_readings where active = 1)
         select cast(d as date) as day from (select min(date) as a, max(date) as b from live),
         unnest(generate_series(cast(a as timestamp), cast(b as timestamp), interval 1 day)) as g(d)
         where cast(d as date) not in (select date from live)""",

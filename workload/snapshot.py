@@ -36,6 +36,18 @@ def snapshot_restore(spark, sf):
     return rows.join(clients, rows.o_custkey == clients.c_custkey, "left").drop("c_custkey")
 
 
+def restore_verify(spark, sf):
+    """What was restored, held against the manifests of the snapshot and of the export."""
+    folder, restored = new_folder(spark, "snapshot"), new_folder(spark, "restored")
+    names = ("orders", "customer", "documents")
+    tables = {n: driver_table(spark, sf, n) for n in names}
+    S.write_snapshot(tables, folder, ["orders"])
+    exports = {"orders": f"{folder}/orders_csv"}
+    S.export_since(tables["orders"], "o_orderdate", FLOOR, exports["orders"])
+    held = S.restore_snapshot(spark, folder, names, restored, exports)
+    return S.verify_restore(spark, folder, held, exports, {"orders": "o_orderkey", "customer": "c_custkey"})
+
+
 def csv_roundtrip(spark, sf):
     path = new_folder(spark, "csv")
     rows = standin(spark, sf, "docs_text")
@@ -64,6 +76,7 @@ QUERIES = {
     "snapshot_filtered": snapshot_filtered,
     "snapshot_manifest": snapshot_manifest,
     "snapshot_restore": snapshot_restore,
+    "restore_verify": restore_verify,
     "csv_roundtrip": csv_roundtrip,
     "csv_texts": csv_texts,
     "max_id_or_one": lambda spark, sf: next_base(
@@ -89,6 +102,11 @@ ORACLES = {
     ),
     "snapshot_restore": f"""select o.*, c_name, c_nationkey, c_acctbal, c_mktsegment
         from orders o left join customer on c_custkey = o_custkey where {_RECENT}""",
+    "restore_verify": f"""
+        select 'orders' as "table", count(*) as expected, count(*) as found, true as same, max(o_orderkey) as next_base
+        from orders where {_RECENT}
+        union all select 'customer', count(*), count(*), true, max(c_custkey) from customer
+        union all select 'documents', count(*), count(*), true, null from documents""",
     "csv_roundtrip": "select * from docs_text",
     "csv_texts": "select * from documents",
     "max_id_or_one": "select coalesce(max(o_orderkey), 1) as next_base from orders",
