@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from keystitch.llm import vectors
 from keystitch.sources.tables import stage
 
-#: The rotation, the mean and the radius are fitted on so many vectors, those with the smallest hash of their id.
+#: The rotation, the mean and the radius are fitted on so many vectors, those with the smallest hash of their number.
 SAMPLE, SAMPLE_QUERIES = 4096, 256
 BITS, SUBSTRING = 64, 8
 #: Share of the sample's true neighbours that the radius takes in.
@@ -117,8 +117,8 @@ def nearest(points: DataFrame, is_query: Column, k: int) -> DataFrame:
     if len(sample) == 0:
         return points.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     coder = fit(vectors._matrix(sample["v"]), k)
-    candidates, candidate_blocks = vectors.staged_blocks(points, vectors.CANDIDATE_ROWS, "ann-codes")
-    queries = points.where(is_query)
+    candidates, candidate_blocks = vectors.staged_blocks(points.select("vec_id", "v"), vectors.CANDIDATE_ROWS, "ann-codes")
+    queries = points.where(is_query).select("vec_id", "v")
 
     def find(some: DataFrame, radius: int) -> DataFrame:
         blocks, number = vectors.blocks(some, vectors.QUERY_ROWS)
@@ -141,4 +141,5 @@ def nearest(points: DataFrame, is_query: Column, k: int) -> DataFrame:
 
 def search(embeddings: DataFrame, k: int = 20, one_in: int = 20) -> DataFrame:
     """Up to `k` nearest neighbours of every vector whose id is divisible by `one_in`."""
-    return nearest(vectors.usable(embeddings, zero=False), F.col("vec_id") % one_in == 0, k)
+    rows = vectors.usable(embeddings, zero=False)
+    return vectors.named(nearest(rows, F.col("id") % one_in == 0, k), rows)

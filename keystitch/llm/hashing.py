@@ -71,6 +71,12 @@ def slices(texts: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         yield begin, len(texts)
 
 
+def text_slices(texts, limit: int) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges of a column of texts of about `limit` characters, and their texts; only these are encoded at a time."""
+    for a, b in slices(texts.fillna("").tolist(), limit):
+        yield a, b, [b"" if t is None else t.encode() for t in texts.iloc[a:b]]
+
+
 class Words:
     """Words of several documents: `doc` is the place of the document of each word, `value` the word's hash."""
 

@@ -30,9 +30,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keystitch.llm.hashing import Rolling, Words, mix, slices
+from keystitch.llm.hashing import Rolling, Words, mix, text_slices
 from keystitch.llm.rows import small
-from keystitch.llm.substrings import _bytes, _joined, _packed
+from keystitch.llm.substrings import _joined, _packed
 from keystitch.sources.tables import stage
 
 WORDS, PERCENT = 3, 90
@@ -113,16 +113,10 @@ def _sketches(sets: Sets) -> list[bytes]:
     return [counts[s : s + k].tobytes() for s, k in zip(begins, bins, strict=True)]
 
 
-def _parts_of(pdf: pd.DataFrame) -> Iterator[tuple[int, int, list[bytes]]]:
-    """Ranges of rows and their texts."""
-    for a, b in slices(pdf["text"].fillna("").tolist(), SLICE_BYTES):
-        yield a, b, _bytes(pdf["text"].iloc[a:b])
-
-
 def _describe(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for a, b, texts in _parts_of(pdf):
+            for a, b, texts in text_slices(pdf["text"], SLICE_BYTES):
                 sets = Sets(texts, n)
                 one, two = (x.view("i8") for x in sets.classes())
                 yield pd.DataFrame(
@@ -137,7 +131,7 @@ def _sign(n: int, percent: int, buckets: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for a, b, texts in _parts_of(pdf):
+            for a, b, texts in text_slices(pdf["text"], SLICE_BYTES):
                 sets = Sets(texts, n)
                 one = sets.classes()[0]
                 first = np.zeros(b - a, bool)
@@ -232,7 +226,7 @@ def _near(percent: int):
 def _tokens(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for a, b, texts in _parts_of(pdf):
+            for a, b, texts in text_slices(pdf["text"], SLICE_BYTES):
                 sets = Sets(texts, n)
                 ends = np.cumsum(sets.size)
                 tokens = [sets.token[e - s : e].tobytes() for e, s in zip(ends, sets.size, strict=True)]

@@ -25,9 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keystitch.llm.hashing import slices
+from keystitch.llm.hashing import text_slices
 from keystitch.llm.rows import flagged, small
-from keystitch.llm.substrings import _bytes
 from keystitch.sources.tables import stage
 
 ORDER = 5
@@ -45,6 +44,8 @@ LEAST_OWN, SPREADS, LEAST_SPREAD = 50, 6.0, 0.05
 SHARD_NGRAMS = 1 << 21
 #: N-grams a task adds up before it hands them on.
 HELD_NGRAMS = 1 << 20
+#: Characters of text whose n-grams are worked on at a time.
+SLICE = 500_000
 _PAD = b"\x02" * (ORDER - 1)
 _EMPTY = np.uint64((1 << 64) - 1)
 
@@ -81,9 +82,8 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for pdf in batches:
         for trusted, part in pdf.groupby("trusted"):
-            texts = _bytes(part["text"])
-            for a, b in slices(texts):
-                value, count = np.unique(ngrams(texts[a:b])[0], return_counts=True)
+            for _, _, texts in text_slices(part["text"], SLICE):
+                value, count = np.unique(ngrams(texts)[0], return_counts=True)
                 held.append((value, count * int(trusted)))
                 if sum(len(v) for v, _ in held) > HELD_NGRAMS:
                     held[:] = [_merge(held)]
@@ -184,9 +184,9 @@ def _add(shard, name: str):
             _TABLES.clear()
             _TABLES[name] = Table(*shard.value)
         for pdf in batches:
-            texts, sums = _bytes(pdf["text"]), []
-            for a, b in slices(texts):
-                value, doc = ngrams(texts[a:b])
+            sums = []
+            for a, b, texts in text_slices(pdf["text"], SLICE):
+                value, doc = ngrams(texts)
                 sums.append(np.bincount(doc, weights=_TABLES[name].get(value), minlength=b - a))
             yield pdf.assign(ll=pdf["ll"] + np.concatenate(sums)) if sums else pdf
         # a worker outlives its tasks; the next one of this stage makes the table again

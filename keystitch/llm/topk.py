@@ -68,13 +68,13 @@ def _keep(q, cells) -> pd.DataFrame:
 def top_k(codes: DataFrame, is_query: Column, k: int) -> DataFrame:
     """query_id, rank, vec_id and score of the `k` best candidates of each query, ties to the smaller id.
 
-    `codes` has vec_id and the vector `v` of whole numbers, one row an id; `is_query` chooses the queries.
+    `codes` has vec_id, a different one in each row, and the vector `v` of whole numbers; `is_query` chooses the queries.
     """
     codes = stage(codes, "topk-codes")
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     bound = min(_TALL, (codes.agg(F.max(square)).first()[0] or 0.0))
-    candidates, candidate_blocks = vectors.staged_blocks(codes, vectors.CANDIDATE_ROWS, "topk-candidates")
-    queries = codes.where(is_query)
+    candidates, candidate_blocks = vectors.staged_blocks(codes.select("vec_id", "v"), vectors.CANDIDATE_ROWS, "topk-candidates")
+    queries = codes.where(is_query).select("vec_id", "v")
     # no score lies outside -bound .. bound
     span = 2 * int(bound) + 1
     width = -(-span // BINS)
@@ -113,8 +113,8 @@ def top_k(codes: DataFrame, is_query: Column, k: int) -> DataFrame:
 def search(embeddings: DataFrame, k: int = 20, one_in: int = 20) -> DataFrame:
     """The `k` best integer scores of every vector whose id is divisible by `one_in`."""
     rows = vectors.usable(embeddings)
-    codes = rows.select("vec_id", F.transform("v", lambda x: F.floor(F.lit(64.0) * x).cast("double")).alias("v"))
-    return top_k(codes, F.col("vec_id") % one_in == 0, k)
+    codes = rows.select("vec_id", "id", F.transform("v", lambda x: F.floor(F.lit(64.0) * x).cast("double")).alias("v"))
+    return vectors.named(top_k(codes, F.col("id") % one_in == 0, k), rows)
 
 
 SEARCH_SQL = """
@@ -122,13 +122,13 @@ with ok as (
     select vec_id, embedding::double[] as e from embeddings
     where vec_id is not null and len(embedding) > 0
       and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
-), code as (
-    select vec_id, list_transform(min(e), lambda x: floor(64 * x)::double) as v from ok group by vec_id
+), code as materialized (
+    select row_number() over () as place, vec_id, list_transform(e, lambda x: floor(64 * x)::double) as v from ok
 ), pair as (
-    select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
-    from code q join code c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id
+    select q.place, q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+    from code q join code c on q.vec_id % 20 = 0 and c.place <> q.place
 ), ranked as (
-    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from pair
+    select *, row_number() over (partition by place order by score desc, vec_id) as rank from pair
 )
 select query_id, rank::integer as rank, vec_id, score from ranked where rank <= 20
 """

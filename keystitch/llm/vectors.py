@@ -18,16 +18,27 @@ _PACKED = "block int, n int, dim int, ids binary, kind string, matrix binary"
 
 
 def usable(table: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", zero: bool = True) -> DataFrame:
-    """`vec_id` and its vector as doubles. Rows without an id, and vectors that are null, empty or hold null or
-    non-finite components, take no part, nor do zero vectors without `zero`. Of the rows with one id the smallest
-    vector counts, so repeated rows count once."""
+    """`id` and its vector `v` as doubles, under a row number `vec_id` that rises with the id; it is what the searches
+    go by, and `named` puts the ids back. Rows without an id, and vectors that are null, empty or hold null or
+    non-finite components, take no part, nor do zero vectors without `zero`. Every other row counts by itself, also
+    where its id or all of it is repeated: a copy of a query's row is a candidate."""
     v = F.col("v")
     rows = table.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = rows.where(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0)).where(finite)
     if not zero:
         rows = rows.where(F.exists(v, lambda x: x != 0))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    # ranges of id and vector, so that the rows of one id need not meet in one task
+    ranged = rows.withColumnRenamed("vec_id", "id").repartitionByRange("id", F.xxhash64("v")).sortWithinPartitions("id")
+    return stage(ranged.select(F.monotonically_increasing_id().alias("vec_id"), "id", "v"), "vectors")
+
+
+def named(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """`found` (query_id, rank, vec_id, score) with the ids of the rows instead of their numbers."""
+    query = rows.select(F.col("vec_id").alias("query_id"), F.col("id").alias("_query"))
+    other = rows.select("vec_id", F.col("id").alias("_other"))
+    both = found.join(query, "query_id").join(other, "vec_id")
+    return both.select(F.col("_query").alias("query_id"), "rank", F.col("_other").alias("vec_id"), "score")
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:

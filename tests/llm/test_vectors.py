@@ -14,9 +14,9 @@ def table(spark, points, parts=3):
 
 def plain(points, k, one_in, score):
     out = []
-    for q, a in points:
+    for i, (q, a) in enumerate(points):
         if q % one_in == 0:
-            found = sorted((-score(a, b), c) for c, b in points if c != q)[:k]
+            found = sorted((-score(a, b), c) for j, (c, b) in enumerate(points) if j != i)[:k]
             out += [(q, r, c, -s) for r, (s, c) in enumerate(found, 1)]
     return sorted(out)
 
@@ -34,7 +34,7 @@ def test_top_k(spark, monkeypatch, scale):
     points = [(i, (scale * rng.normal(size=6)).round(2).tolist()) for i in range(120)]
     points += [(i, points[3][1]) for i in range(120, 190)] + [(200, [0.0] * 6), (201, [0.5, 0.5])]
     got = topk.search(table(spark, points + points[:5] + BAD), k=8, one_in=10)
-    assert sorted(tuple(r) for r in got.collect()) == plain(points, 8, 10, codes)
+    assert sorted(tuple(r) for r in got.collect()) == plain(points + points[:5], 8, 10, codes)
     assert got.dtypes == [("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "bigint")]
 
 
@@ -47,9 +47,12 @@ def test_few_candidates(spark):
     assert topk.search(table(spark, [(0, [1.0])])).count() == 0
 
 
-def test_repeated_id_counts_once(spark):
-    points = [(0, [1.0]), (1, [3.0]), (1, [2.0]), (1, [2.0])]
-    assert [tuple(r) for r in topk.search(table(spark, points)).collect()] == [(0, 1, 1, 64 * 128)]
+def test_every_row_of_an_id_counts(spark):
+    points = [(0, [1.0]), (1, [3.0]), (1, [2.0]), (1, [2.0]), (0, [5.0]), (20, [1.0])]
+    got = sorted(tuple(r) for r in topk.search(table(spark, points)).collect())
+    assert got == plain(points, 20, 20, codes) and len(got) == 15
+    found = ann.search(table(spark, points)).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in found) == [x[:3] for x in plain([p for p in points], 20, 20, codes)]
 
 
 def test_ann_recall_and_scores(spark):
