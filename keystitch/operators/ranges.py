@@ -17,11 +17,14 @@ MANY_DAYS = 7
 def high_water_range(target: DataFrame, now: datetime, zone: str = LOCAL_ZONE) -> DataFrame:
     """One row (last_date, from_day, to_day, empty, up_to_date): the day after the last active reading
     up to yesterday. An empty table asks for yesterday only. Holes further back are not seen."""
+    return range_after(active(target).agg(F.max("date").alias("last_date")), now, zone)
+
+
+def range_after(newest: DataFrame, now: datetime, zone: str = LOCAL_ZONE) -> DataFrame:
+    """The row of `high_water_range` for a known last day, the one row (last_date) of `newest`."""
     last = F.col("last_date")
     return (
-        active(target)
-        .agg(F.max("date").alias("last_date"))
-        .select(
+        newest.select(
             last,
             F.coalesce(F.date_add(last, 1), yesterday(now, zone)).alias("from_day"),
             yesterday(now, zone).alias("to_day"),

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from keystitch.functions.days import LOCAL_ZONE
 from keystitch.operators.links import active
-from keystitch.operators.ranges import high_water_range, manual_range, pending_days, range_warnings
+from keystitch.operators.ranges import manual_range, pending_days, range_after, range_warnings
 from keystitch.operators.readings import (
     complete_days,
     ingest_totals,
@@ -23,7 +23,7 @@ from keystitch.operators.readings import (
 )
 from keystitch.operators.reports import readings_summary
 from keystitch.sources.responses import ARRIVAL, PLACE, explode_responses, failed_days, scan_bodies, with_place
-from keystitch.sources.tables import stage
+from keystitch.sources.tables import folders_in, stage
 
 READINGS_SCHEMA = T.StructType(
     [
@@ -53,6 +53,43 @@ def read_readings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(READINGS_SCHEMA).parquet(path)
 
 
+def newest_active_day(spark: SparkSession, path: str) -> date | None:
+    """The last day with an active reading of the table at `path`, None if there is none.
+
+    The days are the names of its folders. Only the newest folder is read, and where it holds nothing active twice as
+    many before it, and so on: old days are not opened, however many there are.
+    """
+    days = []
+    for name in folders_in(spark, path):
+        column, _, value = name.partition("=")
+        try:
+            if column == "date":
+                days.append(date.fromisoformat(value))
+        except ValueError:
+            continue  # readings without a day
+    if not days:
+        return None
+    days.sort()
+    table, end, width = read_readings(spark, path), len(days), 1
+    while end > 0:
+        begin = max(0, end - width)
+        some = table.filter(F.col("date").between(F.lit(days[begin]), F.lit(days[end - 1])))
+        newest = active(some).agg(F.max("date")).first()[0]
+        if newest is not None:
+            return newest
+        end, width = begin, 2 * width
+    return None
+
+
+def _one_day(spark: SparkSession, day: date | None) -> DataFrame:
+    return spark.range(1).select(F.lit(day).cast("date").alias("last_date"))
+
+
+def high_water_days(spark: SparkSession, path: str, now: datetime, zone: str = LOCAL_ZONE) -> DataFrame:
+    """`high_water_range` of the table at `path`, from its newest folders alone."""
+    return range_after(_one_day(spark, newest_active_day(spark, path)), now, zone)
+
+
 def append_readings(new: DataFrame, path: str) -> None:
     """Append new readings. Rebalancing writes few files per day, and splits a day that is too big
     for one task."""
@@ -78,7 +115,7 @@ def ingest_readings(
     started = time.monotonic()
     manual = first is not None or last is not None
     target = read_readings(spark, table)
-    asked = manual_range(spark, first, last) if manual else high_water_range(target, now, zone)
+    asked = manual_range(spark, first, last) if manual else high_water_days(spark, table, now, zone)
     span = range_warnings(asked).first()  # one row by construction
     low, high = span["from_day"], span["to_day"]
 
@@ -93,8 +130,8 @@ def ingest_readings(
     counts = stage(complete_days(run_counts(mapped, new), pending_days(asked)), "day-counts")
     append_readings(new, table)
 
-    done = active(read_readings(spark, table)).agg(F.max("date"))
+    done = None if manual else _one_day(spark, newest_active_day(spark, table))
     totals = ingest_totals(counts, failed)
     elapsed = time.monotonic() - started
-    summary = readings_summary(totals, span, None if manual else done, elapsed=elapsed)
+    summary = readings_summary(totals, span, done, elapsed=elapsed)
     return IngestRun(counts.orderBy("day"), totals, summary)

@@ -11,7 +11,7 @@ from keystitch.operators import quality as Q
 from keystitch.operators import ranges as R
 from keystitch.operators import readings as G
 from keystitch.plans.cleanup import clean_hours, clean_table
-from keystitch.plans.ingest import READINGS_SCHEMA, ingest_readings, read_readings
+from keystitch.plans.ingest import READINGS_SCHEMA, high_water_days, ingest_readings, newest_active_day, read_readings
 from keystitch.sources.responses import READING_FIELDS, failed_days, scan_bodies, scan_responses
 from keystitch.sources.tables import empty_table
 from keystitch.streaming.readings import ingest_stream
@@ -261,3 +261,19 @@ def test_cleaned_table_rewrites_touched_days_only(spark):
     assert {f for f in before if "2024-01-02" in f} <= after
     assert clean_table(spark, "hours").count.first().total == 0 and files() == after
     spark.sql("drop table hours")
+
+
+def test_high_water_opens_no_old_day(spark, tmp_path):
+    table = str(tmp_path / "table")
+    assert newest_active_day(spark, table) is None
+    days = [(date(2024, 1, d), 1 if d < 20 else 0 if d % 2 else None) for d in range(1, 31)]
+    data = [("00:00", 1, None, None, None, None, None, None, a, d) for d, a in days] + [("00:00", 1, *[None] * 6, 1, None)]
+    spark.createDataFrame(data, READINGS_SCHEMA).write.partitionBy("date").parquet(table)
+    assert newest_active_day(spark, table) == date(2024, 1, 19)
+    for d in range(1, 14):
+        for file in (tmp_path / "table" / f"date=2024-01-{d:02d}").glob("*.parquet"):
+            file.write_bytes(b"no parquet")
+    # folders 30, 28-29, 24-27 and 16-23 are read, not those before
+    assert newest_active_day(spark, table) == date(2024, 1, 19)
+    row = high_water_days(spark, table, NOW).first()
+    assert tuple(row) == (date(2024, 1, 19), date(2024, 1, 20), date(2024, 2, 1), False, False)

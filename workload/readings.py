@@ -13,7 +13,7 @@ from keystitch.operators import quality as Q
 from keystitch.operators import ranges as R
 from keystitch.operators import readings as G
 from keystitch.plans.cleanup import clean_hours, clean_table
-from keystitch.plans.ingest import READINGS_SCHEMA, ingest_readings, read_readings
+from keystitch.plans.ingest import READINGS_SCHEMA, high_water_days, ingest_readings, read_readings
 from keystitch.sources.responses import READING_FIELDS, scan_responses
 from keystitch.sources.tables import new_folder
 from keystitch.streaming.readings import ingest_stream
@@ -86,12 +86,17 @@ def stream_ingest_readings(spark, sf):
     return read_readings(spark, table)
 
 
-def _ingest_run(spark, sf):
-    landed, table = land_responses(spark, sf), new_folder(spark, "readings")
-    old = _target(spark, sf)
+def _stored_target(spark, sf):
+    """The known readings as a table partitioned by date."""
+    table, old = new_folder(spark, "readings"), _target(spark, sf)
     absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in READINGS_SCHEMA if f.name not in old.columns]
     old = old.select("*", *absent).select(*READINGS_SCHEMA.names).hint("rebalance", "date")
     old.write.partitionBy("date").parquet(table)
+    return table
+
+
+def _ingest_run(spark, sf):
+    landed, table = land_responses(spark, sf), _stored_target(spark, sf)
     return ingest_readings(spark, landed, table, NOW, date(2023, 12, 30), date(2024, 1, 31))
 
 
@@ -112,6 +117,7 @@ QUERIES = {
     "readings_valid": lambda spark, sf: G.valid_readings(_mapped(spark, sf)),
     "insert_ignore": insert_ignore,
     "high_water_range": _range,
+    "high_water_days_job": lambda spark, sf: high_water_days(spark, _stored_target(spark, sf), NOW),
     "pending_days": lambda spark, sf: R.pending_days(_range(spark, sf)),
     "missing_days": lambda spark, sf: R.missing_days(standin(spark, sf, "station_readings")),
     "day_sequence": day_sequence,
@@ -215,4 +221,5 @@ ORACLES = {
         where hour is null or not regexp_matches(hour, '^[0-9]{2}:[0-9]:$')""",
     "cleanup_job": f"with {_BY_DATE} select * from by_date",
 }
+ORACLES["high_water_days_job"] = ORACLES["high_water_range"]
 ORACLES["cleanup_delete_job"] = ORACLES["bad_hour_clean"]
