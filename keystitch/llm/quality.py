@@ -17,7 +17,7 @@ Without any trusted document that was kept out of the model nothing is rejected.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -195,31 +195,36 @@ def _add(shard, name: str):
     return run
 
 
-def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """doc_id, lang and perplexity of each row of `docs` under a model of the documents with ids in `trusted`."""
+def perplexities(docs: DataFrame, trusted: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, lang and perplexity of each row of `docs` under a model of the documents with ids in `trusted`, and the
+    columns of `docs` that `keep` names."""
     spark = docs.sparkSession
-    rows = flagged(docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string")), trusted, "trusted")
+    used = [F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"), *keep]
+    rows = flagged(docs.select(*used), trusted, "trusted")
     counted = rows.select("text", "trusted").mapInPandas(_count, "g long, c long")
     counts = stage(counted.groupBy("g").agg(F.sum("c").alias("c")), "quality-ngrams")
     known = stage(probabilities(counts), "quality-table")
     shards = max(1, -(-known.count() // SHARD_NGRAMS))
     scored = rows.withColumn("ll", F.lit(0.0))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scored.schema.fields)
     for number in range(shards):
         part = known.where(F.pmod(F.xxhash64("g"), F.lit(shards)) == number).toArrow()
         pair = part["g"].to_numpy().view("u8"), part["p"].to_numpy().astype("f4")
         shard = spark.sparkContext.broadcast(pair)
-        scored = scored.mapInPandas(_add(shard, f"{uuid.uuid4()}"), "doc_id long, lang string, text string, trusted boolean, ll double")
+        scored = scored.mapInPandas(_add(shard, f"{uuid.uuid4()}"), schema)
     size = F.octet_length("text")
-    return scored.select("doc_id", "lang", F.when(size > 0, F.exp(-F.col("ll") / size)).alias("perplexity"))
+    return scored.select("doc_id", "lang", F.when(size > 0, F.exp(-F.col("ll") / size)).alias("perplexity"), *keep)
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """doc_id, lang, perplexity, threshold and rejected of every document. Trusted are those labelled of quality 1."""
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, lang, perplexity, threshold and rejected of every document. Trusted are those labelled of quality 1.
+
+    `keep` names columns of `docs` to carry along, a key of the rows, say."""
     trusted = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     trusted = trusted.agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
     # a model likes what it was trained on, so the limits come from trusted documents that it has not seen
     apart = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
-    scored = stage(perplexities(docs, trusted.where(~apart)), "quality-scores")
+    scored = stage(perplexities(docs, trusted.where(~apart), keep), "quality-scores")
     good = scored.join(trusted.where(apart), "doc_id", "left_semi").where(F.col("perplexity").isNotNull())
     at = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000))
     trusted_of = good.groupBy("lang").agg(at.alias("own"), F.max("perplexity").alias("most"), F.count("*").alias("held"))
@@ -238,4 +243,4 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
         limits = limits.withColumn("threshold", F.lit(None).cast("double"))
     joined = scored.join(small(stage(limits, "quality-limits")), F.col("lang").eqNullSafe(F.col("l")), "left")
     rejected = F.coalesce(F.col("perplexity") > F.col("threshold"), F.lit(False))
-    return joined.select("doc_id", "lang", "perplexity", "threshold", rejected.alias("rejected"))
+    return joined.select("doc_id", "lang", "perplexity", "threshold", rejected.alias("rejected"), *keep)

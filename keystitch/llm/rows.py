@@ -1,10 +1,12 @@
-"""Joins of documents with a list of ids that keep the texts where they are while the list is small."""
+"""Keys of rows, and joins of documents with a list of ids that keep the texts where they are while the list is small."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keystitch.sources.tables import stage
+
 #: Ids that are broadcast at most; they take some 100 MB. Longer lists are joined by shuffling both sides.
 BROADCAST_IDS = 2_000_000
 
@@ -14,9 +16,26 @@ def small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of `docs` whose doc_id is not in the one column of `ids`. Rows without an id stay."""
-    return docs.join(small(ids.toDF("doc_id")), "doc_id", "left_anti").select(*docs.columns)
+def spare(docs: DataFrame, name: str) -> str:
+    """`name`, with underscores behind it until no column of `docs` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` with a number of its own for each row, and the name of that column.
+
+    Rows are told apart that agree in every column, or have no id. The numbers are written down, as a second run of the
+    plan may deal rows otherwise."""
+    name = spare(docs, "row")
+    return stage(docs.withColumn(name, F.monotonically_increasing_id()), "keyed"), name
+
+
+def without(docs: DataFrame, ids: DataFrame, name: str = "doc_id") -> DataFrame:
+    """Rows of `docs` whose column `name` is not in the one column of `ids`. Rows that have NULL there stay."""
+    return docs.join(small(ids.toDF(name)), name, "left_anti").select(*docs.columns)
 
 
 def flagged(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keystitch.llm.hashing import Words, least_of, slices
+from keystitch.llm.rows import spare
 from keystitch.sources.tables import stage
 
 WINDOW = 13
@@ -256,7 +257,9 @@ def dedup(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, origi
     """`docs` without their texts, unless `original` is set, and with what is left of each (`kept`, words joined by one
     space), `n_words` and `n_removed`. Other columns of `docs` pass through; those with the names of results are replaced."""
     spark = docs.sparkSession
-    docs = docs.drop("kept", "n_words", "n_removed", "home")
+    docs = docs.drop("kept", "n_words", "n_removed")
+    own, aside = next((c for c in docs.columns if c.lower() == "home"), "home"), spare(docs, "home")
+    docs = docs.withColumnRenamed("home", aside)
     docs = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
@@ -280,9 +283,9 @@ def dedup(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, origi
             "substrings",
         )
     else:
-        return _finish(docs, rows, told, window, original)
+        return _finish(docs, rows, told, window, original).withColumnRenamed(aside, own)
     nothing = spark.createDataFrame([], "home int, low binary, high binary, doc binary")
-    return _finish(docs, rows, nothing, window, original)
+    return _finish(docs, rows, nothing, window, original).withColumnRenamed(aside, own)
 
 
 def _finish(docs: DataFrame, rows: DataFrame, told: DataFrame, window: int, original: bool) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from keystitch.llm.hashing import Rolling, least_of, mix, slices
 from keystitch.llm.substrings import BUCKET_BYTES, _bytes, _joined, _packed
+from keystitch.llm.rows import spare
 from keystitch.sources.tables import stage
 
 LENGTH, GRAM, BLOCK = 200, 100, 10
@@ -367,7 +368,9 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int =
     """`docs` without texts, and with the bytes that are left of each (`kept`, binary), `n_bytes`, `n_removed` and
     `n_spans`, the number of runs removed. Other columns pass through; those with the names of results are replaced."""
     spark = docs.sparkSession
-    docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans", "home").withColumn("text", F.col("text").cast("string"))
+    docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans").withColumn("text", F.col("text").cast("string"))
+    own, aside = next((c for c in docs.columns if c.lower() == "home"), "home"), spare(docs, "home")
+    docs = docs.withColumnRenamed("home", aside)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
     # rows with one id, and rows without, spread by their text
@@ -385,7 +388,8 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int =
     schema = ", ".join(
         [*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "kept binary, n_bytes long, n_removed long, n_spans long"]
     )
-    return rows.groupBy("home").cogroup(marks.groupBy("home")).applyInPandas(_cut(length, gram), schema)
+    done = rows.groupBy("home").cogroup(marks.groupBy("home")).applyInPandas(_cut(length, gram), schema)
+    return done.withColumnRenamed(aside, own)
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ counts; rows without a label or an id do not train. Where a label has no trainin
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -148,7 +148,7 @@ def _with_features(docs: DataFrame, dictionaries) -> DataFrame:
                 **dict(zip(("saved", "rate", "windows"), zip(*found, strict=True), strict=True))
             )
 
-    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), _FEATURES])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), _FEATURES])
     return docs.mapInPandas(run, schema)
 
 
@@ -165,11 +165,11 @@ def _curve(x: np.ndarray, y: np.ndarray, rounds: int = 40) -> np.ndarray:
     return w
 
 
-def score(docs: DataFrame, labels: DataFrame, fold: int = 5) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, fold: int = 5, keep: Sequence[str] = ()) -> DataFrame:
     """doc_id, held_out, score and predicted of every document. Rows whose crc32 of the id is divisible by `fold`
-    are held out: their labels are not learned from."""
+    are held out: their labels are not learned from. `keep` names columns of `docs` to carry along, a key of the rows, say."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *keep)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % fold == 0, F.lit(False))
     known = labels.where("toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max("toxic").cast("int").alias("toxic")
@@ -182,11 +182,11 @@ def score(docs: DataFrame, labels: DataFrame, fold: int = 5) -> DataFrame:
         DataFrame.unionByName, [part.withColumn("use", F.lit(use)) for use, part in enumerate([*first, second])]
     )
     short = docs.where(F.octet_length("text") <= TRAIN_BYTES)
-    train = stage(short.join(F.broadcast(uses), "doc_id"), "toxicity-training")
+    train = stage(short.select("doc_id", "text").join(F.broadcast(uses), "doc_id"), "toxicity-training")
     sample = [train.where(F.col("use") == x).orderBy("at", "doc_id", "text").select("at", "text").collect() for x in (0, 1)]
-    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text", *keep)
     if not all(sample):
-        return rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), *keep)
 
     def trained(keep):
         return spark.sparkContext.broadcast(
@@ -209,4 +209,4 @@ def score(docs: DataFrame, labels: DataFrame, fold: int = 5) -> DataFrame:
     logit = sum((F.col(n) * float(a) for n, a in zip(names, w[:-1], strict=True)), F.lit(float(w[-1])))
     value = 1 / (1 + F.exp(-logit))
     scored = _with_features(rows, dictionaries).withColumn("score", value)
-    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *keep)

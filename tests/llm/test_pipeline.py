@@ -1,9 +1,11 @@
 """The pipeline stage by stage, and its guard."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from keystitch.llm import rows as joins
+from keystitch.llm import toxicity
 from keystitch.sources.tables import stage
 from tests.llm.test_passages import plain_words
 
@@ -69,6 +71,45 @@ def test_stages_on_odd_documents(spark):
             function(spark, table, SMALL).collect()
 
 
+def test_rows_are_told_apart(spark, rows):
+    text = " ".join(f"w{i}" for i in range(40))
+    data = [(7, text, "b"), (7, text, "a"), (None, text, "c"), (9, f"{text} more", "d"), (None, "", "e"), (8, "q r", "f")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, row string")
+    kept = corpus_pipeline.keep_one_of_each(spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    got = rows(kept)
+    assert [r for r in got if r[0] == 7] in ([(7, text, "a")], [(7, text, "b")])
+    assert sorted(r[2] for r in got if r[0] != 7) == ["e", "f"]
+    nameless = spark.createDataFrame(data[2:3] * 3, docs.schema)
+    assert corpus_pipeline.keep_one_of_each(spark, nameless, SMALL).count() == 1
+
+
+def test_rejected_rows_alone_go(spark, rows):
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    scored = toxicity.score(docs, labels)
+    bad = docs.join(scored.where("predicted = 1"), "doc_id", "left_semi").orderBy("doc_id").first()
+    good = docs.join(labels.where("quality = 1 and toxic = 0"), "doc_id", "left_semi").orderBy("doc_id").first()
+    mixed = spark.createDataFrame(
+        [(good.doc_id, bad.text), (good.doc_id, good.text), (None, bad.text), (None, good.text)], "doc_id long, text string"
+    )
+    held = docs.select("doc_id", "text").where(F.col("doc_id") != good.doc_id).unionByName(mixed)
+    left = corpus_pipeline.keep_civil(spark, held, SMALL)
+    assert {r.text for r in left.where(F.col("doc_id").isNull() | (F.col("doc_id") == good.doc_id)).collect()} == {good.text}
+    assert left.where("doc_id is null").count() == 1
+
+
+def test_clashing_names_pass_all_stages(spark):
+    names = ["home", "kept", "n_words", "n_removed", "row", "score", "rejected", "component_id", "Trusted", "ll"]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    docs = docs.select(*[F.concat(F.lit(f"{n}-"), "doc_id").alias(n) for n in names], *docs.columns)
+    for _, function in corpus_pipeline.STAGES[:4]:
+        docs = stage(function(spark, docs, SMALL), "pipeline-test")
+        assert docs.columns[: len(names)] == names
+        assert not docs.where(" or ".join(f"`{n}` <> concat('{n}-', doc_id)" for n in names)).count()
+    assert docs.count() > 0 and corpus_pipeline.into_sequences(spark, docs, SMALL).count() > 0
+
+
 def test_lists_of_ids_beyond_the_broadcast(spark, monkeypatch, rows):
     docs = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (2, "d")], "doc_id long, text string")
     ids = spark.createDataFrame([(2,), (2,), (None,)], "doc_id long")
