@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +10,8 @@ from keystitch.sources.tables import stage
 
 #: Ids that are broadcast at most; they take some 100 MB. Longer lists are joined by shuffling both sides.
 BROADCAST_IDS = 2_000_000
+#: More rows than a file holds.
+FILE_ROWS = 1 << 40
 
 
 def small(ids: DataFrame) -> DataFrame:
@@ -27,10 +30,31 @@ def spare(docs: DataFrame, name: str) -> str:
 def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """`docs` with a number of its own for each row, and the name of that column.
 
-    Rows are told apart that agree in every column, or have no id. The numbers are written down, as a second run of the
-    plan may deal rows otherwise."""
+    Rows are told apart that agree in every column, or have no id. Where `docs` is a Parquet table as it was read, the
+    number is the row's place in its file, behind a number of the file, and nothing is written. Other rows are written
+    down with a number, as a second run of their plan may deal them otherwise."""
     name = spare(docs, "row")
-    return stage(docs.withColumn(name, F.monotonically_increasing_id()), "keyed"), name
+    places = _places(docs, name)
+    if places is None:
+        return stage(docs.withColumn(name, F.monotonically_increasing_id()), "keyed"), name
+    return places, name
+
+
+def _places(docs: DataFrame, name: str) -> DataFrame | None:
+    # above a join or a generator one row of a file may stand several times
+    if not docs._jdf.queryExecution().analyzed().children().isEmpty():
+        return None
+    file, place = spare(docs, "file"), spare(docs, "place")
+    try:
+        hidden = docs.metadataColumn("_metadata")
+        found = docs.select("*", hidden["file_path"].alias(file), hidden["row_index"].alias(place))
+    except AnalysisException:
+        return None
+    # as many as the files that the driver lists for the scan
+    files = sorted(r[0] for r in found.select(file).distinct().collect())
+    numbers = docs.sparkSession.createDataFrame(list(zip(files, range(len(files)))), f"{file} string, {name} long")
+    key = (F.col(name) * FILE_ROWS + F.col(place)).alias(name)
+    return found.join(small(numbers), file).select(*docs.columns, key)
 
 
 def without(docs: DataFrame, ids: DataFrame, name: str = "doc_id") -> DataFrame:

@@ -84,6 +84,18 @@ def test_rows_are_told_apart(spark, rows):
     assert corpus_pipeline.keep_one_of_each(spark, nameless, SMALL).count() == 1
 
 
+def test_keys_of_rows(spark, rows):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    twice = stage(docs.unionByName(docs).repartition(5), "pipeline-test")
+    numbered, name = joins.keyed(twice)
+    assert numbered.columns == [*docs.columns, name]
+    assert numbered.select(name).distinct().count() == twice.count() == numbered.count()
+    assert rows(numbered.drop(name)) == rows(twice)
+    for other in (twice.select("*", F.explode(F.array(F.lit(1), F.lit(2)))), twice.where("doc_id < 50"), twice.limit(0)):
+        numbered, name = joins.keyed(other)
+        assert numbered.select(name).distinct().count() == other.count()
+
+
 def test_rejected_rows_alone_go(spark, rows):
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
