@@ -56,13 +56,14 @@ def change_keys(
     key: str,
     stamp: str | None = None,
     watermark: Column | None = None,
+    again: DataFrame | None = None,
 ) -> DataFrame:
-    """Keys to load: (key, copies, outcome), one row per key.
+    """Keys to load: (key, copies, outcome, retried), one row per key.
 
     `inserted` for a key the target lacks, `updated` for a known key with a modified row, `rejected`
     for the NULL key. `copies` counts the source rows. Without stamp and watermark only missing keys
-    are found. Reads nothing but key and stamp of the source and the key of the target, so that the
-    shuffle stays narrow however wide the tables are.
+    are found. Keys in `again` are loaded whatever their stamp is, and marked as retried. Reads nothing but key and
+    stamp of the source and the key of the target, so that the shuffle stays narrow however wide the tables are.
     """
     found = (
         source.select(key, _modified(stamp, watermark).alias("modified"))
@@ -73,11 +74,16 @@ def change_keys(
     outcome = (
         F.when(F.col(key).isNull(), "rejected")
         .when(F.col("_known").isNull(), "inserted")
-        .when(F.col("modified"), "updated")
+        .when(F.col("modified") | F.col("retried"), "updated")
     )
+    if again is None:
+        found = found.withColumn("retried", F.lit(False))
+    else:
+        wanted = again.select(key).distinct().withColumn("_again", F.lit(True))
+        found = found.join(wanted, key, "left").withColumn("retried", F.coalesce("_again", F.lit(False)))
     return (
         found.join(known, key, "left")
-        .select(key, "copies", outcome.alias("outcome"))
+        .select(key, "copies", outcome.alias("outcome"), "retried")
         .filter(F.col("outcome").isNotNull())
     )
 
@@ -96,10 +102,11 @@ def change_rows(
     first cut to the wanted keys; with few staged keys that is a filter against a broadcast, and only
     what is left is sorted. Each task passes on one row per key, so a much repeated key is never collected.
     """
-    wanted = keys.filter(F.col("outcome") != "rejected").select(key, "outcome")
+    wanted = keys.filter(F.col("outcome") != "rejected").select(key, "outcome", "retried")
     rows = source.filter(F.col(key).isNotNull()).withColumn("_modified", _modified(stamp, watermark))
     rows = last_per_key(rows.join(wanted.select(key), key, "left_semi"), [key], ["_modified", *order])
-    return rows.join(wanted, key).filter((F.col("outcome") == "inserted") | F.col("_modified")).drop("_modified")
+    wins = (F.col("outcome") == "inserted") | F.col("retried") | F.col("_modified")
+    return rows.join(wanted, key).filter(wins).drop("_modified", "retried")
 
 
 def change_counts(keys: DataFrame, name: str) -> DataFrame:

@@ -87,6 +87,11 @@ def replace_folder(spark: SparkSession, new: str, path: str) -> None:
         system.delete(old, True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder, system = _at(spark, path)
+    return system.exists(folder)
+
+
 def folders_in(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders right below a folder; none if it does not exist."""
     folder, system = _at(spark, path)

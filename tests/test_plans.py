@@ -27,7 +27,7 @@ QUERIES = {k: q for k, q in __spark_entry__.queries().items() if not re.match(r"
 # these run jobs before they return a DataFrame; their operators are covered by the others
 JOBS = {n for n in QUERIES if n.endswith(("_job", "_job_totals"))} | {"stream_ingest_readings", "readings_scan"}
 JOBS |= {n for n in QUERIES if n.endswith("_bucketed")}
-JOBS |= {n for n in QUERIES if n.startswith(("csv_", "snapshot_manifest", "snapshot_restore", "restore_verify", "report_json"))}
+JOBS |= {n for n in QUERIES if n.startswith(("csv_", "snapshot_manifest", "snapshot_restore", "restore_verify", "report_json", "sync_rejects", "sync_retried"))}
 
 
 def plan(df, executed=False):

@@ -23,10 +23,11 @@ from keystitch.operators.keys import fetch_rows, last_per_key, missing_keys, spl
 from keystitch.operators.merge import patch, upsert, upsert_outcome
 from keystitch.operators.reports import sync_report as total_report
 from keystitch.plans.extras import patch_extras
+from keystitch.plans.quarantine import keep_rejects, read_rejects, with_pending
 from keystitch.plans.sync import sync_run, sync_table
 from keystitch.sources.buckets import missing_keys_in, patch_in, replace_buckets, upsert_in, write_buckets
 from keystitch.sources.specs import DOCUMENTS, TableSpec, map_columns as rename
-from keystitch.sources.tables import new_folder, swap_table
+from keystitch.sources.tables import new_folder, stage, swap_table
 from keystitch.sources.tables import scan_keys as key_scan
 from workload.standins import driver_table, standin
 
@@ -52,6 +53,7 @@ CLIENTS = TableSpec(
     {"ID": "client_id", "NAME": "name", "BALANCE": "balance"},
 )
 SYNCED_AT = "2024-03-01 06:00:00"
+MENDED_AT = "2024-03-02 06:00:00"
 
 
 def _docs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -170,6 +172,32 @@ def sync_job(spark, sf):
     return _without_zone(run.table)
 
 
+def _retried(spark, sf):
+    """Two runs over a source of texts with totals that are no numbers, half of them mended before the second run; gives
+    that run and the store it leaves."""
+    spec = replace(DOCS, types={"document_id": "long", "total": "double"})
+    store, table = new_folder(spark, "rejects"), standin(spark, sf, "tgt_docs")
+    for bad, at in ((13, SYNCED_AT), (26, MENDED_AT)):
+        total = F.when(F.col("CIDDOCUMENTO") % bad == 5, "n/a").otherwise(F.col("CTOTAL").cast("string"))
+        source = standin(spark, sf, "src_docs").withColumns({"CTOTAL": total, "CIDDOCUMENTO": F.col("CIDDOCUMENTO").cast("string")})
+        source, again = with_pending(source, spec, store)
+        run = sync_table(source, table, spec, at, again=again, keep_source=True)
+        # written, as a table is before its store changes
+        table = stage(run.table, "synced")
+        keep_rejects(run.rejects, spec, store, at)
+    return table, read_rejects(spark, store)
+
+
+def sync_rejects(spark, sf):
+    rejects = _retried(spark, sf)[1]
+    raw = F.get_json_object("row", "$.CTOTAL").alias("total")
+    return _without_zone(rejects.select("entry", "reason", raw, "first_run", "last_run", "attempts"))
+
+
+def sync_retried(spark, sf):
+    return _without_zone(_retried(spark, sf)[0])
+
+
 def report_json(spark, sf):
     """The summary of a run over two catalog tables, without the time it took."""
     base = new_folder(spark, "versions")
@@ -219,6 +247,8 @@ QUERIES = {
     "reject_split": reject_split,
     "sync_report": sync_report,
     "sync_job": sync_job,
+    "sync_rejects": sync_rejects,
+    "sync_retried": sync_retried,
     "report_json": report_json,
     "any_extra_filter": any_extra_filter,
     "extra_diff": extra_diff,
@@ -330,5 +360,17 @@ ORACLES["report_json"] = f"""with counted as ({ORACLES["sync_report"]}), written
         as numbers from counted)
     select '{{"script":"sync","tables":[' || (select string_agg({_ENTRY}, ',' order by name) from written where name is not null)
         || '],"totals":{{' || (select numbers from written where name is null) || '}}}}' as summary"""
+ORACLES["sync_rejects"] = f"""with {_CHANGES} select cast(document_id as varchar) as entry,
+    'value does not fit its type' as reason, 'n/a' as total, timestamp '{SYNCED_AT}' as first_run,
+    timestamp '{MENDED_AT}' as last_run, 2 as attempts from changes where document_id % 26 = 5"""
+ORACLES["sync_retried"] = f"""with {_CHANGES}, loaded as (
+    select *, case when document_id % 13 = 5 then timestamp '{MENDED_AT}' else timestamp '{SYNCED_AT}' end as loaded_at
+    from changes where document_id % 26 <> 5)
+    select coalesce(s.document_id, t.document_id) as document_id,
+        case when s.document_id is not null then s.total else t.total end as total,
+        case when s.document_id is not null then s.nature else t.nature end as nature,
+        case when s.document_id is not null then s.sql_timestamp else t.sql_timestamp end as sql_timestamp,
+        t.label, s.loaded_at as synced_at
+    from tgt_docs t full outer join loaded s on s.document_id = t.document_id"""
 ORACLES["missing_keys_bucketed"] = ORACLES["missing_keys"]
 ORACLES["upsert_bucketed"] = ORACLES["upsert_apply"]
