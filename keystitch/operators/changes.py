@@ -102,7 +102,8 @@ def change_rows(
     first cut to the wanted keys; with few staged keys that is a filter against a broadcast, and only
     what is left is sorted. Each task passes on one row per key, so a much repeated key is never collected.
     """
-    wanted = keys.filter(F.col("outcome") != "rejected").select(key, "outcome", "retried")
+    retried = F.col("retried") if "retried" in keys.columns else F.lit(False)
+    wanted = keys.filter(F.col("outcome") != "rejected").select(key, "outcome", retried.alias("retried"))
     rows = source.filter(F.col(key).isNotNull()).withColumn("_modified", _modified(stamp, watermark))
     rows = last_per_key(rows.join(wanted.select(key), key, "left_semi"), [key], ["_modified", *order])
     wins = (F.col("outcome") == "inserted") | F.col("retried") | F.col("_modified")
