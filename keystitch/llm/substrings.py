@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keystitch.llm.hashing import Words, least_of, slices
+from keystitch.llm.hashing import Words, least_of, text_slices
 from keystitch.llm.rows import spare
 from keystitch.sources.tables import stage
 
@@ -33,6 +33,10 @@ WINDOW = 13
 SHORTEST = 7
 #: Bytes of text that a bucket of documents holds on average.
 BUCKET_BYTES = 12 << 20
+#: Characters of text whose words are worked on at a time; a longer document is worked on alone.
+SLICE = 500_000
+#: Hashes that a task of the first level holds before it packs them.
+HELD_HASHES = 1 << 18
 _SEVERAL = -(1 << 63)
 _FOUND = "bucket int, target int, low binary, high binary, doc binary"
 
@@ -70,36 +74,44 @@ def _chosen(words: Words, small: int, large: int) -> tuple[np.ndarray, np.ndarra
 
 
 def _first_level(small: int, large: int, buckets: int):
-    """Packed entries of a batch of documents: hash and document; and hashes that several documents here share."""
+    """Packed entries of the documents of a task: hash and document; and hashes that several documents here share."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[np.ndarray, ...]] = []
         for pdf in batches:
-            texts = _bytes(pdf["text"])
-            rows = []
-            for a, b in slices(texts):
-                ids, home = (pdf[c].to_numpy()[a:b] for c in ("doc_id", "home"))
-                words = Words(texts[a:b])
+            ids, home = (pdf[c].to_numpy() for c in ("doc_id", "home"))
+            for a, b, texts in text_slices(pdf["text"], SLICE):
+                words = Words(texts)
                 place, value = _chosen(words, small, large)
                 doc = words.doc[place]
                 new = np.r_[True, (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])] if len(value) else np.zeros(0, bool)
-                value, doc = value[new] >> np.uint64(16), doc[new]
-                order = np.lexsort((ids[doc], value))
-                value, doc = value[order], doc[order]
-                first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]]) if len(value) else np.zeros(0, int)
-                low, high = np.minimum.reduceat(ids[doc], first) if len(first) else first, ids[doc[np.r_[first[1:], len(doc)] - 1]] if len(first) else first
-                shared = np.repeat(low != high, np.diff(np.r_[first, len(doc)]))
-                entry = np.where(low != high, _SEVERAL, low)
-                rows += _entries(value[first], entry, home[doc[first]], buckets)
-                # documents that share a hash right here are told through the bucket of their own
-                rows += [
-                    (h, h, low32, high16, None)
-                    for h, low32, high16 in _packed(home[doc[shared]], _halves(value[shared]))
-                ]
-            yield pd.DataFrame(rows, columns=["bucket", "target", "low", "high", "doc"])
+                doc = doc[new] + a
+                held.append((value[new] >> np.uint64(16), ids[doc], home[doc]))
+                if sum(len(h[0]) for h in held) >= HELD_HASHES:
+                    yield _reduced(held, buckets)
+                    held.clear()
+        if held:
+            yield _reduced(held, buckets)
 
     return run
 
 
+def _reduced(held: list[tuple[np.ndarray, ...]], buckets: int) -> pd.DataFrame:
+    """One entry for each hash, with its document or a mark that several have it."""
+    value, doc, home = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.lexsort((doc, value))
+    value, doc, home = value[order], doc[order], home[order]
+    rows = []
+    if len(value):
+        first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
+        low, high = np.minimum.reduceat(doc, first), np.maximum.reduceat(doc, first)
+        rows += _entries(value[first], np.where(low != high, _SEVERAL, low), home[first], buckets)
+        # documents that share a hash right here are told through the bucket of their own
+        shared = np.repeat(low != high, np.diff(np.r_[first, len(value)]))
+        rows += [(h, h, *halves, None) for h, *halves in _packed(home[shared], _halves(value[shared]))]
+    return pd.DataFrame(rows, columns=["bucket", "target", "low", "high", "doc"])
+
+
 def _halves(value: np.ndarray) -> list[np.ndarray]:
     return [value.astype("<u4"), (value >> np.uint64(32)).astype("<u2")]
 
@@ -143,9 +155,8 @@ def _extend(small: int, large: int, step: int, last: bool, buckets: int):
         found: list[tuple[np.ndarray, ...]] = []
         if len(told) and len(docs):
             known = _known(told, step)
-            texts = _bytes(docs["text"])
-            for a, b in slices(texts):
-                ids, words = docs["doc_id"].to_numpy()[a:b], Words(texts[a:b])
+            for a, b, texts in text_slices(docs["text"], SLICE):
+                ids, words = docs["doc_id"].to_numpy()[a:b], Words(texts)
                 place = _candidates(words, small, large, known, step)
                 if len(place):
                     found.append((words.windows(large)[place], words.windows(large, 1)[place] >> np.uint64(32), ids[words.doc[place]]))
@@ -209,13 +220,13 @@ def _strip(window: int, original: bool):
     """Documents of a bucket without the words of windows that a document with a smaller id has."""
 
     def run(docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        texts, kept, removed, number = _bytes(docs["text"]), [], [], []
+        kept, removed, number = [], [], []
         value, more, least = (_joined(told[c], k) for c, k in (("low", "<u8"), ("high", "<u4"), ("doc", "<i8")))
         key = np.rec.fromarrays([value, more], names="v,m")
         order = np.argsort(key, order=("v", "m")) if len(key) else np.zeros(0, int)
         value, more, least = value[order], more[order], least[order]
-        for a, b in slices(texts):
-            words, ids = Words(texts[a:b]), docs["doc_id"].to_numpy()[a:b]
+        for a, b, texts in text_slices(docs["text"], SLICE):
+            words, ids = Words(texts), docs["doc_id"].to_numpy()[a:b]
             gone = np.zeros(len(words.doc) + 1, np.int64)
             place = np.flatnonzero(words.whole(window))
             if len(value) and len(place):
@@ -241,7 +252,7 @@ def _strip(window: int, original: bool):
             ends = np.cumsum(words.counts)
             lost = np.bincount(words.doc[gone], minlength=b - a)
             for i, (end, n) in enumerate(zip(ends, words.counts, strict=True)):
-                parts = texts[a + i].split()
+                parts = texts[i].split()
                 if lost[i]:
                     parts = [p for p, g in zip(parts, gone[end - n : end].tolist(), strict=True) if not g]
                 kept.append(b" ".join(parts).decode())
