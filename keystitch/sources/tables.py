@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: Folder of the run that is being prepared, for its intermediate tables.
+_RUN: ContextVar[str | None] = ContextVar("run folder", default=None)
+
+
 def scan_keys(table: DataFrame, source_key: str, key: str | None = None) -> DataFrame:
     """Only the key column; Parquet and JDBC scans then read nothing else."""
     return table.select(F.col(source_key).alias(key or source_key))
@@ -24,18 +32,44 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_RUN.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession, run: str, journal: str) -> Iterator[str]:
+    """Within the block, `new_folder` and `stage` use one folder, named after the run and its journal. It goes with the
+    block, however that ends; what a killed process left of it goes at the start."""
+    path = f"{shared_dir(spark)}/{run}-{hashlib.sha256(journal.encode()).hexdigest()[:16]}"
+    drop_folder(spark, path)
+    before = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(before)
+        drop_folder(spark, path)
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
     Later steps then neither recompute it nor depend on the executors that made it, read only the
-    columns they use, and see its real size when they choose between a broadcast and a shuffle.
+    columns they use, and see its real size when they choose between a broadcast and a shuffle. Shuffle files of the
+    write go with it; otherwise they stay until the driver happens to collect garbage.
     """
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def counted(df: DataFrame, write, **counters: Column):
@@ -87,16 +121,51 @@ def replace_folder(spark: SparkSession, new: str, path: str) -> None:
         system.delete(old, True)
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that is there whole or not at all."""
+    target, system = _at(spark, path)
+    part, _ = _at(spark, f"{path}.{uuid.uuid4().hex}.part")
+    out = system.create(part)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not system.rename(part, target):
+        raise RuntimeError(f"{path} could not be written; is it there already?")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     folder, system = _at(spark, path)
     return system.exists(folder)
 
 
-def folders_in(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders right below a folder; none if it does not exist."""
+def names_in(spark: SparkSession, path: str, folders: bool) -> list[str]:
+    """Names of the folders, or of the files, right below a folder; none if it does not exist."""
     folder, system = _at(spark, path)
     found = system.listStatus(folder) if system.exists(folder) else []
-    return [f.getPath().getName() for f in found if f.isDirectory()]
+    return [f.getPath().getName() for f in found if f.isDirectory() == folders]
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    return names_in(spark, path, True)
+
+
+def partitioned(spark: SparkSession, table: str) -> bool:
+    return any(c.isPartition for c in spark.catalog.listColumns(table))
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    return spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
+
+
+def point_table(spark: SparkSession, table: str, path: str) -> None:
+    """Let an unpartitioned catalog table read the files at `path`."""
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
 
 
 def swap_table(df: DataFrame, table: str, base: str) -> DataFrame:
@@ -107,13 +176,12 @@ def swap_table(df: DataFrame, table: str, base: str) -> DataFrame:
     own, which stay behind when the table moves; such a table is refused, see `overwrite_partitions`.
     """
     spark = df.sparkSession
-    if spark.catalog.tableExists(table) and any(c.isPartition for c in spark.catalog.listColumns(table)):
+    if spark.catalog.tableExists(table) and partitioned(spark, table):
         raise ValueError(f"{table} is partitioned; replace its partitions instead")
     path = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(table)
+        point_table(spark, table, path)
     else:
         spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
     return spark.table(table)
@@ -125,18 +193,14 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
     `df` holds these partitions whole, has the columns of the table in order, and must not read the
     table itself, so stage it first. A run that fails can be repeated from the staged rows.
     """
-    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    spark = df.sparkSession
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     if parts:
         # few files a partition, whatever tasks the rows come from
         df = df.hint("rebalance", *parts)
     # only the session setting counts here: insertInto does not look at writer options
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         df.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
 
 
 def empty_table(spark: SparkSession, schema: StructType, path: str, partition_by: str | None = None) -> None:
