@@ -42,12 +42,9 @@ def with_pending(source: DataFrame, spec: TableSpec, store: str) -> tuple[DataFr
     return source.unionByName(gone), again
 
 
-def keep_rejects(rejects: DataFrame, spec: TableSpec, store: str, run_at: datetime | str) -> None:
-    """Make the rejects of a run, with their source rows, the new content of the store.
-
-    Call it after the table has been written. Equal entries are one. The new store is complete before it takes the
-    place of the old one.
-    """
+def write_rejects(rejects: DataFrame, spec: TableSpec, store: str, run_at: datetime | str, new: str) -> None:
+    """Write what the store is to hold after a run, its rejects with their source rows, to the folder `new`. Equal
+    entries are one."""
     spark = rejects.sparkSession
     row, at = F.to_json("_source"), F.lit(run_at).cast("timestamp")
     entry = F.coalesce(F.col("_source").getField(spec.source_key).cast("string"), F.sha2(row, 256))
@@ -62,6 +59,14 @@ def keep_rejects(rejects: DataFrame, spec: TableSpec, store: str, run_at: dateti
         at.alias("last_run"),
         (F.coalesce("attempts", F.lit(0)) + 1).alias("attempts"),
     )
-    new = f"{store}.{uuid.uuid4().hex}.new"
     after.write.parquet(new)
-    replace_folder(spark, new, store)
+
+
+def keep_rejects(rejects: DataFrame, spec: TableSpec, store: str, run_at: datetime | str) -> None:
+    """Make the rejects of a run the new content of the store.
+
+    Call it after the table has been written. The new store is complete before it takes the place of the old one.
+    """
+    new = f"{store}.{uuid.uuid4().hex}.new"
+    write_rejects(rejects, spec, store, run_at, new)
+    replace_folder(rejects.sparkSession, new, store)

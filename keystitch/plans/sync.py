@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -110,6 +110,11 @@ def sync_table(
     return SyncRun(table, report, rejects, good, counts)
 
 
+def fitting(spec: TableSpec, target: DataFrame) -> TableSpec:
+    """The spec, without its blocks where the table has no column of them."""
+    return spec if BLOCK in target.columns else replace(spec, block_size=None)
+
+
 @dataclass(frozen=True)
 class TablesRun:
     report: DataFrame
@@ -136,6 +141,7 @@ def sync_run(
     for spec in specs:
         source = read_source(spec)
         target, store = source.sparkSession.table(spec.target), f"{rejects}/{spec.target}"
+        spec = fitting(spec, target)
         if rejects is None:
             run = sync_table(source, target, spec, synced_at)
         else:

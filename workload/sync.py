@@ -23,10 +23,11 @@ from keystitch.operators.keys import fetch_rows, last_per_key, missing_keys, spl
 from keystitch.operators.merge import patch, upsert, upsert_outcome
 from keystitch.operators.reports import sync_report as total_report
 from keystitch.plans.extras import patch_extras
+from keystitch.plans.journal import sync_together
 from keystitch.plans.quarantine import keep_rejects, read_rejects, with_pending
 from keystitch.plans.sync import sync_run, sync_table
 from keystitch.sources.buckets import missing_keys_in, patch_in, replace_buckets, upsert_in, write_buckets
-from keystitch.sources.specs import DOCUMENTS, TableSpec, map_columns as rename
+from keystitch.sources.specs import BLOCK, DOCUMENTS, TableSpec, map_columns as rename, with_block
 from keystitch.sources.tables import new_folder, stage, swap_table
 from keystitch.sources.tables import scan_keys as key_scan
 from workload.standins import driver_table, standin
@@ -198,13 +199,52 @@ def sync_retried(spark, sf):
     return _without_zone(_retried(spark, sf)[0])
 
 
-def report_json(spark, sf):
-    """The summary of a run over two catalog tables, without the time it took."""
+def _two_tables(spark, sf):
+    """Catalog tables of their own for documents and clients, and the folder of their versions."""
     base = new_folder(spark, "versions")
     specs = [replace(s, target=f"{s.target}_{base[-32:]}") for s in (DOCS, CLIENTS)]
     for spec, name in zip(specs, ("tgt_docs", "tgt_clients"), strict=True):
         table = standin(spark, sf, name).withColumn("synced_at", F.lit(None).cast("timestamp"))
         swap_table(table, spec.target, f"{base}/{spec.target}")
+    return specs, base
+
+
+class _CutOff(Exception):
+    pass
+
+
+def sync_resumed(spark, sf):
+    """Documents after a run over two tables that was cut off at the clients and then finished."""
+    specs, base = _two_tables(spark, sf)
+    read: list[str] = []
+
+    def source(spec):
+        read.append(spec.name)
+        if read == ["src_docs", "src_clients"]:
+            raise _CutOff
+        return standin(spark, sf, spec.name)
+
+    try:
+        sync_together(spark, specs, source, base, SYNCED_AT, f"{base}/journal")
+    except _CutOff:
+        # goes on at the clients, with the time of the run that was cut off
+        sync_together(spark, specs, source, base, MENDED_AT, f"{base}/journal")
+    return _without_zone(spark.table(specs[0].target))
+
+
+def sync_blocks_job(spark, sf):
+    """Documents after a run over a table in blocks of keys, of which only those with changes are written."""
+    spec = replace(DOCS, target=new_folder(spark, "blocks").rsplit("/", 1)[1].replace("-", "_"), block_size=10_000)
+    table = standin(spark, sf, "tgt_docs").withColumn("synced_at", F.lit(None).cast("timestamp"))
+    rows = with_block(table, spec).hint("rebalance", BLOCK)
+    rows.write.partitionBy(BLOCK).saveAsTable(spec.target)
+    sync_run([spec], lambda s: standin(spark, sf, s.name), new_folder(spark, "versions"), SYNCED_AT)
+    return _without_zone(spark.table(spec.target).drop(BLOCK))
+
+
+def report_json(spark, sf):
+    """The summary of a run over two catalog tables, without the time it took."""
+    specs, base = _two_tables(spark, sf)
     run = sync_run(specs, lambda spec: standin(spark, sf, spec.name), base, SYNCED_AT)
     return run.summary.select(F.regexp_replace("summary", '"elapsed_seconds":[0-9.E-]+,', "").alias("summary"))
 
@@ -249,6 +289,8 @@ QUERIES = {
     "sync_job": sync_job,
     "sync_rejects": sync_rejects,
     "sync_retried": sync_retried,
+    "sync_resumed": sync_resumed,
+    "sync_blocks_job": sync_blocks_job,
     "report_json": report_json,
     "any_extra_filter": any_extra_filter,
     "extra_diff": extra_diff,
@@ -372,5 +414,6 @@ ORACLES["sync_retried"] = f"""with {_CHANGES}, loaded as (
         case when s.document_id is not null then s.sql_timestamp else t.sql_timestamp end as sql_timestamp,
         t.label, s.loaded_at as synced_at
     from tgt_docs t full outer join loaded s on s.document_id = t.document_id"""
+ORACLES["sync_resumed"] = ORACLES["sync_blocks_job"] = ORACLES["sync_job"]
 ORACLES["missing_keys_bucketed"] = ORACLES["missing_keys"]
 ORACLES["upsert_bucketed"] = ORACLES["upsert_apply"]
