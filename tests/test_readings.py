@@ -15,6 +15,7 @@ from keystitch.plans.ingest import READINGS_SCHEMA, high_water_days, ingest_read
 from keystitch.sources.responses import READING_FIELDS, failed_days, scan_bodies, scan_responses
 from keystitch.sources.tables import empty_table
 from keystitch.streaming.readings import ingest_stream
+from workload.readings import QUERIES
 
 NOW = datetime(2024, 2, 3, 5, 0)  # still 2 February in local time, so yesterday is 1 February
 
@@ -117,6 +118,15 @@ def test_missing_days(spark):
     assert sorted(r.day for r in R.missing_days(table).collect()) == [date(2024, 1, 2), date(2024, 1, 3)]
 
 
+def test_missing_days_query_reads_every_day(spark, tmp_path):
+    # event ids and users that make a valid active reading of the stand-in table
+    rows = [(6 * i, "signup", datetime(2024, 1, day, 8), 1, 1.0) for i, day in enumerate((6, 7, 9, 14))]
+    events = spark.createDataFrame(rows, "event_id long, event_type string, ts timestamp_ntz, user_id long, value double")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    got = QUERIES["missing_days"](spark, str(tmp_path))
+    assert sorted(r.day.day for r in got.collect()) == [8, 10, 11, 12, 13]
+
+
 def test_scan_skips_bodies_without_readings(spark, tmp_path):
     land(tmp_path, DAY, READINGS[:2])
     land(tmp_path, DAY, "down for maintenance", name="b")

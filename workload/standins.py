@@ -144,9 +144,6 @@ STANDINS: dict[str, str] = {
         from readings_raw
         where kind in ('signup','error') and length(hora)=5 and numero_tanque in ('1','2','3') and dia=fecha
         group by fecha, hora, numero_tanque""",
-    # the station is closed on some days of each month
-    "station_readings": """
-        select * from tgt_readings where substr(cast(date as string), 9, 2) not in ('07','14','21','28')""",
     "bad_hours": f"""
         select event_id as id, cast(ts as date) as date,
                case when event_id%9=8 then {_HH}||':'||cast(minute(ts)%10 as string)||':'
