@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keystitch.llm import jaccard, packing, quality, rows, substrings, toxicity
-from keystitch.sources.tables import stage
+from keystitch.sources.tables import TEXT_ROWS, stage
 
 #: Near copies share four fifths of their shingles of five words.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
@@ -34,7 +34,7 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted to be toxic."""
     docs, row = rows.keyed(docs)
     scored = toxicity.score(docs, _labels(spark, sf_dir), keep=[row])
-    return rows.without(docs, stage(scored.where("predicted = 1").select(row), "rejected"), row).drop(row)
+    return rows.without(docs, stage(scored.where("predicted = 1").select(row), "rejected", TEXT_ROWS), row).drop(row)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

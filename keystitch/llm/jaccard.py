@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from keystitch.llm.hashing import Rolling, Words, mix, text_slices
 from keystitch.llm.rows import small
 from keystitch.llm.substrings import _joined, _packed
-from keystitch.sources.tables import stage
+from keystitch.sources.tables import TEXT_ROWS, stage
 
 WORDS, PERCENT = 3, 90
 #: Members of a block and their tokens, on average; a larger group is several blocks.
@@ -363,7 +363,9 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block_members:
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     narrow = stage(
-        docs.mapInPandas(_describe(n), "doc_id long, n_shingles long, one long, two long, sketch binary"), "jaccard-sets"
+        docs.mapInPandas(_describe(n), "doc_id long, n_shingles long, one long, two long, sketch binary"),
+        "jaccard-sets",
+        TEXT_ROWS,
     )
     taking = narrow.where("n_shingles > 0 and doc_id is not null")
     first = F.min(F.struct("doc_id", "n_shingles", "sketch")).alias("first")
@@ -373,7 +375,7 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block_members:
     narrow = narrow.drop("sketch")
     whole = docs.where("doc_id is not null")
     signed = whole.mapInPandas(_sign(n, percent, buckets), "bucket int, value binary, class binary")
-    shared = stage(signed.groupBy("bucket").applyInPandas(_shared, "class long, part long"), "jaccard-parts")
+    shared = stage(signed.groupBy("bucket").applyInPandas(_shared, "class long, part long"), "jaccard-parts", TEXT_ROWS)
 
     def blocks_of(home: DataFrame) -> DataFrame:
         """class and block of `home` (class, grp): members of a group are dealt into blocks by hash."""
@@ -412,6 +414,7 @@ def join(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, block_members:
             _block, "block long, keys binary, copies binary, sizes binary, at binary, union binary"
         ),
         "jaccard-blocks",
+        TEXT_ROWS,
     )
     compared = met(pairs, blocks).groupBy("a", "b").applyInPandas(_compare(percent), "class long, head long, n long")
     links = stage(compared, "jaccard-links")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from keystitch.llm.hashing import text_slices
 from keystitch.llm.rows import flagged, small
-from keystitch.sources.tables import stage
+from keystitch.sources.tables import TEXT_ROWS, stage
 
 ORDER = 5
 #: Quantile of the trusted documents of a language up to which a document is kept.
@@ -44,6 +44,8 @@ LEAST_OWN, SPREADS, LEAST_SPREAD = 50, 6.0, 0.05
 SHARD_NGRAMS = 1 << 21
 #: N-grams a task adds up before it hands them on.
 HELD_NGRAMS = 1 << 20
+#: N-grams that are put into the table at a time, so that little is held besides the table.
+PUT_KEYS = 1 << 16
 #: Characters of text whose n-grams are worked on at a time.
 SLICE = 500_000
 _PAD = b"\x02" * (ORDER - 1)
@@ -145,6 +147,10 @@ class Table:
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.bits = max(4, int(2 * len(keys)).bit_length())
         self.keys, self.values = np.full(1 << self.bits, _EMPTY), np.zeros(1 << self.bits, np.float32)
+        for a in range(0, len(keys), PUT_KEYS):
+            self._put(keys[a : a + PUT_KEYS], values[a : a + PUT_KEYS])
+
+    def _put(self, keys: np.ndarray, values: np.ndarray) -> None:
         left, slot = np.arange(len(keys)), self._slot(keys)
         while len(left):
             at = slot[left]
@@ -202,7 +208,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame, keep: Sequence[str] = ())
     used = [F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"), *keep]
     rows = flagged(docs.select(*used), trusted, "trusted")
     counted = rows.select("text", "trusted").mapInPandas(_count, "g long, c long")
-    counts = stage(counted.groupBy("g").agg(F.sum("c").alias("c")), "quality-ngrams")
+    counts = stage(counted.groupBy("g").agg(F.sum("c").alias("c")), "quality-ngrams", TEXT_ROWS)
     known = stage(probabilities(counts), "quality-table")
     shards = max(1, -(-known.count() // SHARD_NGRAMS))
     scored = rows.withColumn("ll", F.lit(0.0))
@@ -224,7 +230,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, kee
     trusted = trusted.agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
     # a model likes what it was trained on, so the limits come from trusted documents that it has not seen
     apart = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
-    scored = stage(perplexities(docs, trusted.where(~apart), keep), "quality-scores")
+    scored = stage(perplexities(docs, trusted.where(~apart), keep), "quality-scores", TEXT_ROWS)
     good = scored.join(trusted.where(apart), "doc_id", "left_semi").where(F.col("perplexity").isNotNull())
     at = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000))
     trusted_of = good.groupBy("lang").agg(at.alias("own"), F.max("perplexity").alias("most"), F.count("*").alias("held"))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from keystitch.llm.hashing import Words, least_of, text_slices
 from keystitch.llm.rows import spare
-from keystitch.sources.tables import stage
+from keystitch.sources.tables import TEXT_ROWS, stage
 
 WINDOW = 13
 #: Windows are not halved below this number of words.
@@ -282,7 +282,8 @@ def dedup(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, origi
     entries = short.where(F.octet_length("text") >= 2 * window - 1).mapInPandas(
         _first_level(lengths[0], lengths[1], buckets), _FOUND
     )
-    told = stage(entries.groupBy("bucket").applyInPandas(_repeated, "home int, low binary, high binary"), "substrings")
+    repeated = entries.groupBy("bucket").applyInPandas(_repeated, "home int, low binary, high binary")
+    told = stage(repeated, "substrings", TEXT_ROWS)
     for step, (small, large) in enumerate(zip(lengths[:-1], lengths[1:], strict=True)):
         if not told.limit(1).count():
             break
@@ -292,6 +293,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTEST, origi
         told = stage(
             found.groupBy("bucket").applyInPandas(_smallest, "home int, low binary, high binary, doc binary"),
             "substrings",
+            TEXT_ROWS,
         )
     else:
         return _finish(docs, rows, told, window, original).withColumnRenamed(aside, own)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,6 +15,9 @@ from pyspark.sql.types import StructType
 
 #: Folder of the run that is being prepared, for its intermediate tables.
 _RUN: ContextVar[str | None] = ContextVar("run folder", default=None)
+#: Texts that a worker gets at a time. Batches of Spark's 10,000 texts are buffers of tens of MB in the executor and again
+#: in the worker, and neither gives all of that back.
+TEXT_ROWS = 1000
 
 
 def scan_keys(table: DataFrame, source_key: str, key: str | None = None) -> DataFrame:
@@ -59,15 +62,19 @@ def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
     Later steps then neither recompute it nor depend on the executors that made it, read only the
     columns they use, and see its real size when they choose between a broadcast and a shuffle. Shuffle files of the
-    write go with it; otherwise they stay until the driver happens to collect garbage.
+    write go with it; otherwise they stay until the driver happens to collect garbage. `batch_rows` is the number of
+    rows that Python gets at a time, where rows are as long as texts.
     """
     spark, path = df.sparkSession, new_folder(df.sparkSession, name)
-    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+    with ExitStack() as settings:
+        settings.enter_context(_setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"))
+        if batch_rows:
+            settings.enter_context(_setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows)))
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

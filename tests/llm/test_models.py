@@ -1,6 +1,7 @@
 """Toxicity and quality: against plain models, on held-out labels, and in the defined cases."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -170,3 +171,17 @@ def test_table_of_open_slots():
     assert np.array_equal(table.get(keys), np.arange(1, len(keys) + 1))
     absent = np.setdiff1d(rng.integers(0, 1 << 40, 5000, dtype=np.uint64), keys)
     assert not table.get(absent).any()
+
+
+def test_table_is_filled_in_little_memory():
+    rng = np.random.default_rng(9)
+    keys = rng.permutation(np.arange(1, 400_001, dtype=np.uint64) * np.uint64(1_000_003))
+    values = rng.random(len(keys)).astype(np.float32)
+    tracemalloc.start()
+    try:
+        table = quality.Table(keys, values)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 2 * (table.keys.nbytes + table.values.nbytes)
+    assert (table.get(keys) == values).all() and not table.get(keys + np.uint64(1)).any()

@@ -1,12 +1,13 @@
 """The pipeline stage by stage, and its guard."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from keystitch.llm import jaccard, quality, substrings, toxicity
 from keystitch.llm import rows as joins
-from keystitch.llm import toxicity
-from keystitch.sources.tables import stage
+from keystitch.sources.tables import TEXT_ROWS, stage
 from tests.llm.test_passages import plain_words
 
 SMALL = "/root/testdata/sf0.01"
@@ -129,3 +130,30 @@ def test_lists_of_ids_beyond_the_broadcast(spark, monkeypatch, rows):
     assert want[0] == [(1, "a"), (None, "c")] and len(want[1]) == 4
     monkeypatch.setattr(joins, "BROADCAST_IDS", 0)
     assert (rows(joins.without(docs, ids)), rows(joins.flagged(docs, ids, "f"))) == want
+
+
+def test_texts_come_to_workers_in_short_batches(spark, monkeypatch):
+    def checked(function):
+        def run(batches):
+            def short():
+                for pdf in batches:
+                    if len(pdf) > 1000:
+                        raise ValueError(f"{len(pdf)} texts at once")
+                    yield pdf
+
+            return function(short())
+
+        return run
+
+    assert TEXT_ROWS == 1000
+    for module, name in ((jaccard, "_describe"), (jaccard, "_sign"), (jaccard, "_tokens"), (substrings, "_first_level"), (quality, "_add")):
+        make = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, make=make: checked(make(*a)))
+    monkeypatch.setattr(quality, "_count", checked(quality._count))
+    pdf = pd.DataFrame({"doc_id": range(2500), "lang": "en", "text": [f"a{i} b{i} c{i % 9} d e f g h i j k l m n" for i in range(2500)]})
+    docs = spark.createDataFrame(pdf).coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert jaccard.join(docs).count() == substrings.dedup(docs).count() == 2500
+    trusted = docs.where("doc_id % 2 = 0").select("doc_id")
+    assert stage(quality.perplexities(docs, trusted), "scores", TEXT_ROWS).count() == 2500
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
